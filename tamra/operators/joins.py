@@ -1,0 +1,18 @@
+"""Join helpers: a broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    The count stops at ``max_rows + 1``. A larger table is returned unmarked;
+    the join is then a shuffle join, whose hot keys the adaptive skew join splits.
+    """
+    counted = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if counted <= max_rows else df
