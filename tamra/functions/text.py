@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ WORD = r"[\p{L}\p{M}\p{N}]+"
 TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def non_blank(text: Column) -> Column:
     """True for text with at least one character that is not Unicode white space."""
     return F.coalesce(F.regexp_like(text, F.lit(r"(?U)\S")), F.lit(False))
@@ -31,12 +38,15 @@ def surface_tokens(text: Column) -> Column:
 
 def ngrams(items: Column, n: int, sep: str = " ") -> Column:
     """Consecutive ``n``-item phrases of an array; empty if it is shorter than ``n``."""
-    count = F.size(items) - n + 1
-    return F.when(
-        count >= 1,
-        F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-                    lambda i: F.concat_ws(sep, F.slice(items, i, n))),
-    ).otherwise(F.array().cast("array<string>"))
+    def build(bound: Column) -> Column:
+        count = F.size(bound) - n + 1
+        return F.when(
+            count >= 1,
+            F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+                        lambda i: F.concat_ws(sep, *[F.get(bound, i + (k - 1)) for k in range(n)])),
+        ).otherwise(F.array().cast("array<string>"))
+
+    return let(items, build)
 
 
 def hash32(text: Column) -> Column:

@@ -164,7 +164,7 @@ def license_gate(df: DataFrame, allow: Sequence[str]) -> DataFrame:
 
     ``allow`` is a short list of licence names; it is matched inside the licence line.
     """
-    line = F.regexp_extract(F.col("text"), r"(?i)([^\n]*licen[cs]e[^\n]*)", 1)
+    line = F.regexp_extract(F.col("text"), r"(?im)^([^\n]*licen[cs]e[^\n]*)", 1)
     names = F.array(*[F.lit(name.lower()) for name in allow])
     marked = df.withColumn("license_line", line)
     allowed = F.exists(names, lambda n: F.contains(F.lower(F.col("license_line")), n))
