@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import signal
 import sys
 import time
 import traceback
@@ -72,15 +73,22 @@ def compare(spark, con, name, fn, sql, sf_dir):
     return "ok", f"{len(a)} rows (sql {sql_took:.1f}s)", took
 
 
+def _late(*_):
+    raise TimeoutError("query took too long")
+
+
 def main(argv):
     import duckdb
 
     from tamra.plans import QUERIES
     from tamra.session import local_session
 
-    sf = "0.01"
+    sf, limit = "0.01", 60
+    signal.signal(signal.SIGALRM, _late)
     if argv and argv[0] == "--sf":
         sf, argv = argv[1], argv[2:]
+    if argv and argv[0] == "--limit":
+        limit, argv = int(argv[1]), argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = local_session(8)
     con = duckdb.connect()
@@ -91,6 +99,7 @@ def main(argv):
     picked = [n for n in QUERIES if not argv or any(n == a or (a.endswith('*') and n.startswith(a[:-1])) for a in argv)]
     for name in picked:
         q = QUERIES[name]
+        signal.alarm(limit)
         try:
             status, note, took = compare(spark, con, name, q.run, q.sql, sf_dir)
         except Exception as error:  # noqa: BLE001 - one broken query must not hide the others
@@ -98,6 +107,10 @@ def main(argv):
             note = f"{type(error).__name__}: {str(error)[:900]}"
             if "-v" in argv:
                 traceback.print_exc()
+        finally:
+            signal.alarm(0)
+        if status == "ERROR":
+            spark.sparkContext.cancelAllJobs()
         bad += status not in ("ok", "rows")
         print(f"{status:6} {name:28} {took:6.1f}s  {note}", flush=True)
     print(f"{len(picked)} queries, {bad} bad")

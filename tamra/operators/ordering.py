@@ -100,7 +100,8 @@ def running(df: DataFrame, value: Column, column: str, by: Sequence[str] = (), o
 def following(df: DataFrame, column: str, order: Sequence[str], by: Sequence[str], out: str = "next_value",
               buckets: int = 256) -> DataFrame:
     """Value of ``column`` (numeric or time, first in ``order``) in the next row of the group."""
-    seconds = df.withColumn("_key", F.col(column).cast("double"))
+    timed = df.schema[column].dataType.typeName().startswith("timestamp")
+    seconds = df.withColumn("_key", (F.col(column).cast("timestamp") if timed else F.col(column)).cast("double"))
     marked = with_value_bucket(seconds, "_key", buckets)
     keys = [*by, BUCKET]
     inside = W.partitionBy(*keys).orderBy(*order)

@@ -12,16 +12,15 @@ from tamra.session import scratch
 SIZE, OVERLAP = 256, 0.15
 STEP = SIZE - int(SIZE * OVERLAP)
 LATIN, THAI = "abcdefghijklmnopqrstuvwxyz", "กขคงจชซญดตถทนบปผพฟมยรลวสหอ"
-CHUNKS_SQL = f"""tk AS MATERIALIZED (SELECT doc_id, source, text, {S.tokens()} AS t, string_split_regex(text, {S.quote(S.TOKEN)}) AS g FROM documents),
+CHUNKS_SQL = f"""tk AS MATERIALIZED (SELECT doc_id, source, text, {S.tokens()} AS t, string_split(regexp_replace(text, {S.quote(S.TOKEN)}, chr(1), 'g'), chr(1)) AS g FROM documents),
   ts AS MATERIALIZED (SELECT doc_id, i, lt, sum(lg + lt) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
-      SELECT doc_id, i, len(t[i]) AS lt, len(g[i]) AS lg FROM (SELECT doc_id, t, g, unnest(range(1, len(t) + 1)) AS i FROM tk))),
-  win AS (SELECT doc_id, source, text, len(t) AS n, unnest(range(0, CAST(CASE WHEN len(t) = 0 THEN 0 WHEN len(t) <= {SIZE} THEN 1
+      SELECT doc_id, i, len(tok) AS lt, len(gap) AS lg FROM (SELECT doc_id, unnest(t) AS tok, unnest(g[1:len(t)]) AS gap, unnest(range(1, len(t) + 1)) AS i FROM tk))),
+  win AS MATERIALIZED (SELECT doc_id, source, text, len(t) AS n, unnest(range(0, CAST(CASE WHEN len(t) = 0 THEN 0 WHEN len(t) <= {SIZE} THEN 1
       ELSE ceil((len(t) - {SIZE}) / {STEP}) + 1 END AS BIGINT))) AS j FROM tk),
+  w1 AS MATERIALIZED (SELECT win.*, a.e - a.lt AS s, least({SIZE}, n - j * {STEP}) AS n_tokens FROM win JOIN ts a ON a.doc_id = win.doc_id AND a.i = j * {STEP} + 1),
   chunks AS MATERIALIZED (SELECT sha1(doc_id || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT)) AS chunk_id, doc_id, j AS chunk_no, n_tokens,
       CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end", substr(text, CAST(s AS BIGINT) + 1, CAST(e - s AS BIGINT)) AS text, source FROM (
-      SELECT win.*, a.e - a.lt AS s, b.e AS e, least({SIZE}, n - j * {STEP}) AS n_tokens FROM win
-      JOIN ts a ON a.doc_id = win.doc_id AND a.i = j * {STEP} + 1
-      JOIN ts b ON b.doc_id = win.doc_id AND b.i = j * {STEP} + least({SIZE}, n - j * {STEP})))"""
+      SELECT w1.*, b.e AS e FROM w1 JOIN ts b ON b.doc_id = w1.doc_id AND b.i = j * {STEP} + n_tokens))"""
 POST_SQL = f"""{CHUNKS_SQL},
   post AS MATERIALIZED (SELECT chunk_id, term, count(*) AS tf, dl FROM (SELECT chunk_id, len(w) AS dl, unnest(w) AS term FROM (
      SELECT chunk_id, {S.words()} AS w FROM chunks)) GROUP BY chunk_id, term, dl),
