@@ -61,7 +61,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return "FAIL", f"columns {sorted(names)} != {sorted(their_names)}", took
     my_types = {f.name: kind(f.dataType.simpleString()) for f in df.schema}
     duck = {"bigint": "bigint", "integer": "int", "varchar": "string", "double": "double", "boolean": "boolean",
-            "timestamp": "timestamp", "date": "date", "float": "float"}
+            "timestamp": "timestamp_ntz", "date": "date", "float": "float"}
     odd = {c: (my_types[c], their_types[c]) for c in names if duck.get(their_types[c], their_types[c]) != my_types[c]}
     a, b = canonical(rows, names), canonical(theirs, their_names)
     if a != b:

@@ -31,6 +31,10 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+# To give each array element a row, the operators use ``explode_outer`` and drop the null row: for
+# ``explode`` the optimizer adds a filter on the size of the array, which computes the array again.
+
+
 def surface_tokens(text: Column) -> Column:
     """Words and single symbols, in order, case kept."""
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))

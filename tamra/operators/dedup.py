@@ -111,7 +111,7 @@ def minhash_pairs(df: DataFrame, n: int = 3, bands: int = 16, rows: int = 4, thr
 
 def simhash(df: DataFrame) -> DataFrame:
     """``doc_id, hi, lo``: 64-bit SimHash of the words, as two 32-bit halves."""
-    tokens = df.select("doc_id", F.explode(words(F.col("text"))).alias("w"))
+    tokens = df.select("doc_id", F.explode_outer(words(F.col("text"))).alias("w")).filter("w IS NOT NULL")
     digest = F.md5("w")
     halves = tokens.select(
         "doc_id",
@@ -211,7 +211,7 @@ def delta(new: DataFrame, old: DataFrame) -> DataFrame:
 
 def gram_keys(df: DataFrame, key: str, n: int, text: str = "text") -> DataFrame:
     """``key, g, g2``: distinct word ``n``-grams as a 96-bit key."""
-    grams = df.select(key, F.explode(F.array_distinct(ngrams(words(F.col(text)), n))).alias("_g"))
+    grams = df.select(key, F.explode_outer(F.array_distinct(ngrams(words(F.col(text)), n))).alias("_g")).filter("_g IS NOT NULL")
     return grams.select(key, F.xxhash64("_g").alias("g"), F.hash("_g").alias("g2"))
 
 

@@ -20,7 +20,7 @@ HONORIFIC = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|น
 def detect(df: DataFrame, kind: str) -> DataFrame:
     """``doc_id, pii_type, value``: every valid value of one kind, in the order found."""
     found = F.filter(F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0)), lambda v: valid(kind, v))
-    return df.select("doc_id", F.lit(kind).alias("pii_type"), F.explode(found).alias("value"))
+    return df.select("doc_id", F.lit(kind).alias("pii_type"), F.explode_outer(found).alias("value")).filter("value IS NOT NULL")
 
 
 def raw_spans(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
@@ -105,11 +105,11 @@ def redaction_pivot(hits: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
 
 def detect_names(df: DataFrame, gazetteer: DataFrame, longest: int = 2) -> DataFrame:
     """``doc_id, name, how``: names led by an honorific, and names of the ``gazetteer`` (column ``name``)."""
-    led = df.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(HONORIFIC), F.lit(1))).alias("name")).withColumn(
-        "how", F.lit("honorific"))
+    led = df.select("doc_id", F.explode_outer(F.regexp_extract_all("text", F.lit(HONORIFIC), F.lit(1))).alias("name")).filter(
+        "name IS NOT NULL").withColumn("how", F.lit("honorific"))
     phrases = let(surface_tokens(F.col("text")), lambda t: F.flatten(F.array(*[ngrams(t, n) for n in range(1, longest + 1)])))
     listed = (
-        df.select("doc_id", F.explode(phrases).alias("_phrase")).withColumn("_key", F.lower("_phrase"))
+        df.select("doc_id", F.explode_outer(phrases).alias("_phrase")).filter("_phrase IS NOT NULL").withColumn("_key", F.lower("_phrase"))
         .join(small_side(gazetteer.select(F.lower("name").alias("_key")).distinct()), "_key")
         .select("doc_id", F.col("_phrase").alias("name"), F.lit("gazetteer").alias("how"))
     )

@@ -124,7 +124,8 @@ def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, n
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    found = F.array_distinct(words(F.col("text")))
+    return queries.select("query_id", F.explode_outer(found).alias("term")).filter("term IS NOT NULL")
 
 
 def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | None = None, places: int = 6) -> DataFrame:

@@ -19,8 +19,8 @@ SYMBOL_GAP = "  "
 
 def build_vocab(df: DataFrame, size: int) -> DataFrame:
     """``token, n, token_id``: the ``size`` most frequent tokens, ids by frequency after the reserved ones."""
-    counts = df.select(F.explode(surface_tokens(F.col("text"))).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"))
+    found = df.select(F.explode_outer(surface_tokens(F.col("text"))).alias("token")).filter("token IS NOT NULL")
+    counts = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     kept = counts.orderBy(F.desc("n"), "token").limit(size)  # bounded by ``size``, so one task may number it
     return kept.withColumn("token_id", (F.row_number().over(W.orderBy(F.desc("n"), "token")) + RESERVED - 1).cast("int"))
 
@@ -80,7 +80,7 @@ def learn_bpe(df: DataFrame, rounds: int, cut_every: int = 8) -> DataFrame:
     Works on distinct words with counts. A round is one aggregate over the pairs and brings one
     row to the driver.
     """
-    counts = df.select(F.explode(words(F.col("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(F.explode_outer(words(F.col("text"))).alias("w")).filter("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     # every symbol stands between blanks of its own, so a merge is a plain replacement
     spelled = F.concat(F.lit(" "), F.array_join(F.split("w", ""), SYMBOL_GAP), F.lit(" "))
     state = cut(counts.select(spelled.alias("s"), "n"))
@@ -119,7 +119,7 @@ def pack(tokens: DataFrame, length: int, key: str | None = None, order: str = "d
                         F.slice("input_ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids"))
 
     pieces = placed.filter("n_tokens > 0").select(
-        *[F.col(c).alias("pack_key") for c in by], F.inline(F.transform(F.sequence(first, last), piece)))
+        *[F.col(c).alias("pack_key") for c in by], F.inline_outer(F.transform(F.sequence(first, last), piece)))
     keys = [*(["pack_key"] if by else []), "block_id"]
     blocks = pieces.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("_p"))
     return with_labels(blocks.select(*keys, F.flatten("_p.ids").alias("input_ids"))
@@ -177,10 +177,10 @@ def perplexity(losses: DataFrame, order: str, batch: int = 4, most: int | None =
 
 
 def _bigrams(df: DataFrame, *keep: str) -> DataFrame:
-    tokens = df.select(*keep, words(F.col("text")).alias("w")).filter(F.size("w") > 1)
-    return tokens.select(*keep, F.inline(F.zip_with(
-        F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
+    tokens = df.select(*keep, words(F.col("text")).alias("w"))
+    return tokens.select(*keep, F.inline_outer(F.zip_with(
+        F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b"))))).filter("a IS NOT NULL")
 
 
 def ngram_perplexity(train: DataFrame, validation: DataFrame, add_k: float = 0.1) -> DataFrame:
