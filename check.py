@@ -65,8 +65,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     odd = {c: (my_types[c], their_types[c]) for c in names if duck.get(their_types[c], their_types[c]) != my_types[c]}
     a, b = canonical(rows, names), canonical(theirs, their_names)
     if a != b:
-        extra = [r for r in a if r not in set(b)][:3]
-        missing = [r for r in b if r not in set(a)][:3]
+        mine, other = set(a), set(b)
+        extra = [r for r in a if r not in other][:3]
+        missing = [r for r in b if r not in mine][:3]
         return "FAIL", f"{len(a)} rows vs {len(b)}; only spark {extra}; only sql {missing}", took
     if odd:
         return "TYPES", f"{len(a)} rows, types {odd}", took

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamra.functions.calendar import arabic_digits, parse_date
-from tamra.functions.text import collapse, ngrams, words
+from tamra.functions.text import collapse, let, ngrams, words
 from tamra.operators.ordering import with_value_bucket
 
 SATURATED = 0.9
@@ -253,16 +253,18 @@ def trajectory(runs: DataFrame, golden: DataFrame) -> DataFrame:
     In order: each required call is found after the one before it.
     """
     both = runs.join(golden.select("item_id", "required_tool_calls"), "item_id")
-    calls, required = F.col("tool_calls"), F.col("required_tool_calls")
 
-    def step(place: Column, name: Column) -> Column:
-        rest = F.slice(calls, F.greatest(place, F.lit(0)) + 1, F.size(calls))
-        found = F.array_position(rest, name).cast("int")
-        return F.when((place >= 0) & (found > 0), place + found).otherwise(F.lit(-1))
+    def ordered(t: Column) -> Column:
+        def step(place: Column, name: Column) -> Column:
+            # the first call with this name after the one before it
+            later = F.filter(F.sequence(F.lit(1), F.greatest(F.size(t["calls"]), F.lit(1))),
+                             lambda i: (i > place) & (F.get(t["calls"], i - 1) == name))
+            return F.when(place < 0, F.lit(-1)).otherwise(F.coalesce(F.get(later, F.lit(0)), F.lit(-1)))
+        return F.aggregate(t["required"], F.lit(0), step) >= 0
 
-    ordered = F.aggregate(required, F.lit(0), step) >= 0
-    return both.select("run_id", "item_id", F.size(F.array_except(required, calls)).alias("missing"),
-                       F.size(F.array_except(calls, required)).alias("extra"), ordered.alias("in_order"))
+    pair = F.struct(F.col("tool_calls").alias("calls"), F.col("required_tool_calls").alias("required"))
+    return both.select("run_id", "item_id", F.size(F.array_except("required_tool_calls", "tool_calls")).alias("missing"),
+                       F.size(F.array_except("tool_calls", "required_tool_calls")).alias("extra"), let(pair, ordered).alias("in_order"))
 
 
 def judge_agreement(judged: DataFrame, human: DataFrame) -> DataFrame:
@@ -307,7 +309,7 @@ def preference_pairs(rankings: DataFrame) -> DataFrame:
 
 
 def perturb(queries: DataFrame, seed: int, key: str = "query_id") -> DataFrame:
-    """``query_id, kind, text``: typo (two letters swapped), upper case, doubled blanks, Thai digits."""
+    """``query_id, kind, text``: typo (two letters swapped), lower case, doubled blanks, Thai digits."""
     from tamra.functions.calendar import thai_digits
 
     text, size = F.col("text"), F.length("text")
@@ -317,7 +319,7 @@ def perturb(queries: DataFrame, seed: int, key: str = "query_id") -> DataFrame:
                        F.substring(text, place + 3, size))
     kinds = F.array(*[
         F.struct(F.lit(kind).alias("kind"), value.alias("text")) for kind, value in (
-            ("typo", F.when(size > 1, swapped).otherwise(text)), ("case", F.upper(text)),
+            ("typo", F.when(size > 1, swapped).otherwise(text)), ("case", F.lower(text)),
             ("spacing", F.replace(text, F.lit(" "), F.lit("  "))), ("digits", thai_digits(text)))])
     return queries.select(key, F.inline(kinds))
 

@@ -237,7 +237,7 @@ def held_out(spark, sf):
 
 
 @query("e17_trajectory", """
-WITH r AS (SELECT l_orderkey AS k, string_agg(l_returnflag, '' ORDER BY l_linenumber) AS c FROM lineitem GROUP BY 1)
+WITH r AS (SELECT l_orderkey AS k, string_agg(l_returnflag, '' ORDER BY l_linenumber, l_returnflag) AS c FROM lineitem GROUP BY 1)
 SELECT 'r' AS run_id, k AS item_id,
   CAST(CASE k % 3 WHEN 0 THEN (NOT contains(c, 'N'))::INT + (NOT contains(c, 'R'))::INT WHEN 1 THEN (NOT contains(c, 'A'))::INT ELSE (NOT contains(c, 'R'))::INT END AS INTEGER) AS missing,
   CAST(CASE k % 3 WHEN 0 THEN contains(c, 'A')::INT WHEN 1 THEN contains(c, 'N')::INT + contains(c, 'R')::INT ELSE contains(c, 'A')::INT + contains(c, 'N')::INT END AS INTEGER) AS extra,
@@ -285,7 +285,7 @@ def preference_pairs(spark, sf):
 
 
 _PERTURBED = f"""(SELECT item_id AS query_id, text AS base, unnest(['typo', 'case', 'spacing', 'digits']) AS kind, unnest([
-   substr(text, 1, p) || substr(text, p + 2, 1) || substr(text, p + 1, 1) || substr(text, p + 3), upper(text), replace(text, ' ', '  '), translate(text, '0123456789', '{calendar.THAI_DIGITS}')]) AS text
+   substr(text, 1, p) || substr(text, p + 2, 1) || substr(text, p + 1, 1) || substr(text, p + 3), lower(text), replace(text, ' ', '  '), translate(text, '0123456789', '{calendar.THAI_DIGITS}')]) AS text
    FROM (SELECT *, ('0x' || substr(md5('3-' || item_id), 1, 8))::BIGINT % (length(text) - 1) AS p FROM benchmark))"""
 
 

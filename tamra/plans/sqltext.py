@@ -17,7 +17,11 @@ def tokens(text: str = "text") -> str:
 
 
 def grams(items: str, n: int) -> str:
-    return f"list_transform(range(1, len({items}) - {n} + 2), lambda i: array_to_string({items}[i:i+{n - 1}], ' '))"
+    """Neighbouring items zipped, so that no lambda carries the whole list."""
+    if n == 1:
+        return items
+    shifted = ", ".join([items, *[f"({items})[{i}:]" for i in range(2, n + 1)]])
+    return f"list_transform(list_zip({shifted}, true), lambda s: concat_ws(' ', {', '.join(f's[{i}]' for i in range(1, n + 1))}))"
 
 
 def matches(pattern: str, text: str = "text") -> str:
