@@ -7,6 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamra.session import spread
+
+# Tables whose rows are texts, with a column that spreads them.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -29,4 +34,5 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df

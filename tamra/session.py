@@ -60,3 +60,13 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A task per core for a scan with fewer file splits than cores.
+
+    Text work is bound by the processor. A corpus of many files is returned as it is; only a
+    small one, in a few files, is hashed over the cores by ``key`` (unique, so parts are even).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
