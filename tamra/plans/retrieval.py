@@ -117,7 +117,7 @@ def chunk_sweep(spark, sf):
 
 
 @query("x1_embed", f"""WITH {POST_SQL}, {HASHED_SQL.format(key='chunk_id', post='post')}
-SELECT chunk_id, slot, round(v / sqrt(sum(v * v) OVER (PARTITION BY chunk_id)), 4) AS value FROM hv WHERE abs(v) > 1e-9""")
+SELECT chunk_id, slot, round(CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY chunk_id)) AS FLOAT) AS DOUBLE), 4) AS value FROM hv WHERE abs(v) > 1e-9""")
 def embed(spark, sf):
     vectors = index.embed(chunks_of(spark, sf))
     rows = vectors.select("chunk_id", F.posexplode("embedding").alias("slot", "value"))
