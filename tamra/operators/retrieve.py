@@ -13,7 +13,7 @@ from tamra.functions.text import let, ngrams, words
 from tamra.operators.index import bm25_weight, corpus_size, term_statistics
 from tamra.operators.joins import small_side
 from tamra.operators.ordering import following
-from tamra.session import cut
+from tamra.session import cut, spread
 
 QUERY_BLOCK = 2048
 RRF = 60
@@ -79,14 +79,17 @@ def _scorer(rows: list, k: int, places: int) -> Callable:
     return run
 
 
-def cosine(a: Column, b: Column) -> Column:
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+def unit(vector: Column) -> Column:
+    """The vector at length one (zeros stay zeros), in double precision."""
+    def scaled(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x))
+        return let(norm, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
 
-    x, y = a.cast("array<double>"), b.cast("array<double>")
-    dot = total(F.zip_with(x, y, lambda p, q: p * q))
-    norm = F.sqrt(total(F.transform(x, lambda p: p * p))) * F.sqrt(total(F.transform(y, lambda p: p * p)))
-    return F.when(norm > 0, dot / norm).otherwise(0.0)
+    return let(vector.cast("array<double>"), scaled)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
 def nearest_cells(queries: DataFrame, cells: DataFrame, nprobe: int) -> DataFrame:
@@ -117,9 +120,11 @@ def nearest_cells(queries: DataFrame, cells: DataFrame, nprobe: int) -> DataFram
 
 def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, nprobe: int, places: int = 6) -> DataFrame:
     """Approximate top-k: only the vectors of the ``nprobe`` closest cells are scored (an equi-join on the cell)."""
-    probes = nearest_cells(queries, cells, nprobe)
-    scored = vectors.select("chunk_id", "embedding", "cell").join(small_side(probes, 100_000), "cell").select(
-        "query_id", "chunk_id", F.round(cosine(F.col("query_embedding"), F.col("embedding")), places).alias("score"))
+    probes = nearest_cells(queries, cells, nprobe).select("query_id", "cell", unit(F.col("query_embedding")).alias("_q"))
+    scaled = spread(vectors.select("chunk_id", "cell", "embedding"), "chunk_id").select(
+        "chunk_id", "cell", unit(F.col("embedding")).alias("_v"))  # scaled once, not once per pair
+    scored = scaled.join(small_side(probes, 100_000), "cell").select(
+        "query_id", "chunk_id", F.round(dot(F.col("_q"), F.col("_v")), places).alias("score"))
     return top(scored, k)
 
 

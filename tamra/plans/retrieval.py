@@ -7,7 +7,7 @@ from tamra.functions.text import half_up, words
 from tamra.operators import chunk, index, pii, retrieve
 from tamra.plans import sqltext as S
 from tamra.plans.registry import query, table
-from tamra.session import scratch
+from tamra.session import cut, scratch
 
 SIZE, OVERLAP = 256, 0.15
 STEP = SIZE - int(SIZE * OVERLAP)
@@ -196,7 +196,7 @@ def ann_topk(spark, sf):
 
 
 def lexical(spark, sf, k=20):
-    return retrieve.bm25_topk(bench_queries(spark, sf), index.build_postings(chunks_of(spark, sf)), k)
+    return retrieve.bm25_topk(bench_queries(spark, sf), cut(index.build_postings(chunks_of(spark, sf))), k)
 
 
 @query("q3_bm25_topk", f"WITH {BM25_SQL} SELECT * FROM lex")
