@@ -15,7 +15,7 @@ HEADLINE = (
     "s4_parquet_globs p6_interleave p9_split c2_html_to_text c3_boilerplate c5_language_gate c6_exact_dedup c7_minhash_pairs "
     "c8_simhash_pairs c12_repetition c16_funnel c18_decontaminate r8_pii_hits r9_redact t1_tokenise t2_build_vocab t4_pack "
     "t8_ngram_perplexity k1_segment k2_chunk x2_sparse_weights x4_postings q1_dense_topk q2_ann_topk q3_bm25_topk q8_as_of "
-    "e1_e2_retrieval_scores e4_token_f1 e11_bootstrap v1_render w3_stream_redact w5_monitor corpus_to_blocks"
+    "e1_e2_retrieval_scores e11_bootstrap v1_render w3_stream_redact w5_monitor corpus_to_blocks"
 ).split()
 
 
