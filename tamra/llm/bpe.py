@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -146,12 +146,11 @@ def encode_words(words: list[str], v: Vocabulary) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes blocks of texts; keeps the ids of the words it met first, up to a bound."""
+    """Encodes texts word by word; keeps the ids of the words it met first, up to a bound."""
 
-    def __init__(self, vocabulary: Vocabulary, cached: int = CACHED_WORDS) -> None:
-        self.v, self.bound, self.words = vocabulary, cached, {}
-        names = sorted(vocabulary.special, key=len, reverse=True)
-        self.special = {s: np.array([vocabulary.special[s]], "<u4").tobytes() for s in names}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int], cached: int = CACHED_WORDS) -> None:
+        self.new_words, self.bound, self.words = encode, cached, {}
+        self.special = {s: np.array([special[s]], "<u4").tobytes() for s in sorted(special, key=len, reverse=True)}
 
     def _parts(self, text: str) -> list[str]:
         """Pre-tokens and special tokens of a text in order."""
@@ -167,7 +166,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
         new = dict.fromkeys(w for p in parts for w in p if w not in self.words and w not in self.special)
-        fresh = dict(zip(new, encode_words(list(new), self.v))) if new else {}
+        fresh = dict(zip(new, self.new_words(list(new)))) if new else {}
         look = {**fresh, **self.special}
         known = self.words
         out = [b"".join([known[w] if w in known else look[w] for w in p]) for p in parts]
@@ -185,18 +184,19 @@ def decode(ids: bytes, v: Vocabulary) -> str:
 
 @cache
 def _encoder(path: str) -> Encoder:
-    return Encoder(load(path))
+    v = load(path)
+    return Encoder(lambda words: encode_words(words, v), v.special)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], chars: int = BLOCK_CHARS) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
-    """Arrow batches of (id, text) as groups of about ``chars`` characters, null texts as empty ones."""
+def blocks(batches: Iterable[pa.RecordBatch], chars: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Arrow batches of (id, text) in parts of about ``chars`` characters, null texts as empty ones."""
     for batch in batches:
         texts = [t or "" for t in batch.column(1).to_pylist()]
         first = held = 0
         for i, text in enumerate(texts):
             held += len(text)
             if held >= chars or i == len(texts) - 1:
-                yield [batch.slice(first, i + 1 - first)], texts[first:i + 1]
+                yield batch.slice(first, i + 1 - first), texts[first:i + 1]
                 first, held = i + 1, 0
 
 
@@ -208,7 +208,7 @@ def encode_text(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
         encoder = _encoder(path)
         for held, texts in blocks(batches):
             ids = pa.array(encoder.encode(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([held[0].column(0), ids], names=[key, "ids"])
+            yield pa.RecordBatch.from_arrays([held.column(0), ids], names=[key, "ids"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids binary")
 
@@ -221,8 +221,8 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         encoder = _encoder(path)
         for held, texts in blocks(batches):
             ids = encoder.encode(texts)
-            back = (decode(i, encoder.v).encode("utf-8") for i in ids)
-            columns = [held[0].column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
+            back = (decode(i, load(path)).encode("utf-8") for i in ids)
+            columns = [held.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
                        pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
                        pa.array([hashlib.sha256(b).hexdigest() for b in back])]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tamra.llm import bpe
+from tamra.llm import bpe, mixing, packed, sharding, spots, urls
 from tamra.plans.registry import Query, QueryFn
+from tamra.session import scratch
 
 QUERIES: dict[str, Query] = {}
 
@@ -34,6 +36,60 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# The stated rules of the url filter: host, path, verdict.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block"))
+SOURCE_WEIGHTS = [3.0, 1.0, 2.0]
+SHARDS = 8
+
+OP2_SQL = """
+with u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+p as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw, rest from u),
+q as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+             regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from p),
+rules(rhost, rpath, rverdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                                         ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit as (select page_id, rhost || rpath as rule, rverdict,
+               row_number() over (partition by page_id order by length(rhost || rpath) desc, length(rhost) desc, rverdict) as n
+        from q join rules on (host = rhost or host like '%.' || rhost) and starts_with(path, rpath))
+select q.page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict from q left join fit on q.page_id = fit.page_id and n = 1
+"""
+
+
+@query("op2_url_filter", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url against the stated rules, by the sorted sweep."""
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op3_packed_ids")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all ids as packed blocks, read the files back, and place and digest each document."""
+    out = scratch(spark, "token-ids")
+    packed.write(table(spark, sf_dir, "documents"), out, tokenizer_path())
+    return packed.documents(spark, out)
+
+
+@query("op4_spotsigs")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with their likeness and the next one's."""
+    return spots.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mix")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of each document."""
+    return mixing.totals(mixing.mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)).drop("_row")
+
+
+@query("op6_feistel_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of row counts at most one apart, by the permuted row number."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by the pair occurrence index, decoded again, as digests per document."""
