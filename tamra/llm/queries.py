@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamra.llm import bpe, mixing, packed, sharding, spots, urls
+from tamra.llm import bpe, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
 from tamra.plans.registry import Query, QueryFn
 from tamra.session import scratch
 
@@ -94,3 +94,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by the pair occurrence index, decoded again, as digests per document."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op8_line_crf_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by the chain of its lines."""
+    return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_noisy_or_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by the noisy-or of its sentences."""
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP10_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+           where embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+      from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+select query_id, cast(n as int) as rank, vec_id, score from r where n <= 5
+"""
+
+
+@query("op10_kd_topk", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector, exact."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
