@@ -41,6 +41,10 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _hash(key: str, text: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(key), F.crc32(F.coalesce(text, F.lit(""))))
+
+
 def _named(source: str) -> list[Column]:
     """A null-safe sort and join form of a source."""
     return [F.col(source).isNull().alias("_none"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_name")]
@@ -71,7 +75,7 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, cap: int = 2,
         key: str = "doc_id", text: str = "text", source: str = "source") -> Mix:
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), *_named(source), F.col(source).alias("source"), word_count(text).alias("size"),
-                       F.xxhash64(F.lit(seed), F.col(key), F.crc32(F.coalesce(text, F.lit("")))).alias("hash"))
+                       _hash(key, text, seed).alias("hash"))
     rows = stored(running(rows, ["_none", "_name", "hash", "key", "size"], "size").withColumnRenamed("row_number", "_row"), "mix-rows")
     found = rows.groupBy("_none", "_name").agg(F.sum("size").alias("source_size"), F.max("source").alias("source"))
     found = running(found, ["_none", "_name"], "source_size").withColumnRenamed("row_number", "no").withColumnRenamed("before", "base")
@@ -113,3 +117,16 @@ def totals(mixed: Mix, key: str = "doc_id") -> DataFrame:
     rows = mixed.rows.join(mixed.sources.select("_none", "_name", "source_size", "target"), ["_none", "_name"])
     return rows.join(taken, "_row", "left").select(
         F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "_row")
+
+
+def repeated(docs: DataFrame, mixed: Mix, seed: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, each once for every pass that takes half of its words or more.
+
+    ``seed`` is that of the mix. Equal rows are repeated alike, as often as the one taken most.
+    """
+    passes = mixed.taken.groupBy("_row", "pass").agg(F.sum("n_words").alias("n"))
+    copies = (mixed.rows.join(passes, "_row").where("2 * n >= size").groupBy("_row", "hash").agg(F.count(F.lit(1)).alias("copies"))
+              .groupBy(F.col("hash").alias("_hash")).agg(F.max("copies").alias("_copies")))
+    taken = docs.withColumn("_hash", _hash(key, text, seed)).join(copies, "_hash")
+    taken = taken.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return taken.select(*docs.columns)

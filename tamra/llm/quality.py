@@ -192,6 +192,14 @@ def fit(sample: pd.DataFrame) -> Model:
     return model
 
 
+def _values(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Scores of a run of texts."""
+    found, n = lines(raw, offsets), len(offsets) - 1
+    weight = found.length + 1.0
+    value = np.bincount(found.row, marginals(model, found) * weight, n) / np.bincount(found.row, weight, n)
+    return np.clip(value, 0, 1)
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every text."""
     kind = docs.schema[key].dataType.simpleString()
@@ -199,15 +207,25 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, raw, offsets in slices(batch.column(1)):
-                found = lines(raw, offsets)
-                good, n = marginals(model, found), len(offsets) - 1
-                weight = found.length + 1.0
-                value = np.bincount(found.row, good * weight, n) / np.bincount(found.row, weight, n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(np.clip(value, 0, 1))], names=[key, "score"])
+                value, n = _values(model, raw, offsets), len(offsets) - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(value)], names=[key, "score"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
 
 
+def keep(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, whose text scores ``least`` or more."""
+    column = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [_values(model, raw, offsets) for _, raw, offsets in slices(batch.column(column))]
+            if values:
+                yield batch.filter(pa.array(np.concatenate(values) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def line_labels(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, line, n_bytes, good): the marginal of every line that is not empty, lines numbered from 0."""
     kind = docs.schema[key].dataType.simpleString()

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamra.llm import bpe, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
+import corpus_pipeline
+from tamra.llm import bpe, jaccard, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
+from tamra.llm.tables import table, tokenizer_path
 from tamra.plans.registry import Query, QueryFn
 from tamra.session import scratch
 
 QUERIES: dict[str, Query] = {}
 
-TOKENIZER = "byte_bpe_50k.json"
-
-
 def query(name: str, sql: str | None = None):
     def register(fn: QueryFn) -> QueryFn:
         QUERIES[name] = Query(fn, sql)
@@ -23,19 +20,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    """Folder from TOKENIZER_DIR, else that of the installed vocabulary files."""
-    folder = os.environ.get("TOKENIZER_DIR")
-    if folder:
-        return os.path.join(folder, name)
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 # The stated rules of the url filter: host, path, verdict.
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block"))
@@ -56,6 +40,12 @@ select q.page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict from
 """
 
 
+@query("op1_ngram_jaccard")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles reach a Jaccard of 0.85."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query("op2_url_filter", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url against the stated rules, by the sorted sweep."""
@@ -123,3 +113,9 @@ select query_id, cast(n as int) as rank, vec_id, score from r where n <= 5
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five highest inner products of every fiftieth vector, exact."""
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the pipeline on all documents."""
+    return corpus_pipeline.run(spark, sf_dir)

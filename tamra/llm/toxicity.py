@@ -143,11 +143,10 @@ def fit(sample: pd.DataFrame) -> np.ndarray:
     return weights.astype(np.float32)
 
 
-def _scores(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, Sentences, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for first, raw, offsets in slices(batch.column(1)):
-            s = sentences(raw, offsets)
-            yield batch, first, offsets, s, _logits(s, weights), raw
+def _values(weights: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Scores of a run of texts."""
+    s = sentences(raw, offsets)
+    return -np.expm1(-np.bincount(s.row, np.logaddexp(0, _logits(s, weights)), len(offsets) - 1))
 
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -156,22 +155,37 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, first, offsets, s, z, _ in _scores(batches, sent.value):
-            doubt = np.bincount(s.row, np.logaddexp(0, z), len(offsets) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(offsets) - 1), pa.array(-np.expm1(-doubt))],
-                                             names=[key, "score"])
+        for batch in batches:
+            for first, raw, offsets in slices(batch.column(1)):
+                value = _values(sent.value, raw, offsets)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(value)), pa.array(value)], names=[key, "score"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
 
 
+def keep(docs: DataFrame, weights: np.ndarray, below: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, whose text scores less than ``below``."""
+    column = docs.columns.index(text)
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [_values(sent.value, raw, offsets) for _, raw, offsets in slices(batch.column(column))]
+            if values:
+                yield batch.filter(pa.array(np.concatenate(values) < below))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def offending(docs: DataFrame, weights: np.ndarray, least: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, first_byte, n_bytes, score, sentence) of every sentence that scores ``least`` or more."""
     kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, first, offsets, s, z, raw in _scores(batches, sent.value):
-            p = _logistic(z)
+        for batch, first, raw, offsets in ((b, *part) for b in batches for part in slices(b.column(1))):
+            s = sentences(raw, offsets)
+            p = _logistic(_logits(s, sent.value))
             hit = np.flatnonzero(p >= least)
             following = np.append(np.sort(s.starts), len(raw))
             begin = s.starts[hit]
