@@ -80,7 +80,7 @@ def _kind(schema: Mapping) -> str:
 
 
 def _properties(properties: Mapping, skip: Sequence[str] = ()) -> str:
-    return ",".join(f"{k}:{{{_parameter(v)}}}" for k, v in _by_key(properties) if k not in skip)
+    return ",".join(f"{k}:{{{_parameter(v)}}}" for k, v in _by_key(properties) if k not in skip and isinstance(v, Mapping))
 
 
 def _items(items: Mapping) -> str:
@@ -121,7 +121,7 @@ def _parameter(schema: Mapping) -> str:
 def declare_tool(tool: Mapping) -> str:
     """The declaration of one tool; tools are few and the same for a whole table."""
     function = tool["function"]
-    text = f"declaration:{function['name']}{{description:{_quoted(function['description'])}"
+    text = f"declaration:{function['name']}{{description:{_quoted(function.get('description') or '')}"
     parameters = function.get("parameters")
     if parameters:
         text += ",parameters:{"

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamra.functions.text import let, ngrams, ratio, words
-from tamra.operators.joins import small_side
 
 # Markup rules, applied in this order.
 MARKUP_RULES = (
@@ -20,7 +20,7 @@ MARKUP_RULES = (
     (r"(?i)<br[^>]*>|</(?:p|div|li|tr|h[1-6]|article|section)>", "\n"),
     (r"<[^>]*>", ""),
 )
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 SPACE_RULES = ((r"[ \t]+", " "), (r" ?\n[ \n]*", "\n"))
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 BROKEN = r"[\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F\x7F]|Ã[\x{80}-\x{BF}]|â€"
@@ -42,10 +42,28 @@ def length_bounds(df: DataFrame, lo: int, hi: int) -> DataFrame:
     return df.filter(F.length("text").between(lo, hi))
 
 
+def _named() -> Column:
+    """The named entities of HTML 4 (standard library table), a hard blank as a plain one."""
+    pairs = sorted({**name2codepoint, "apos": 39}.items())
+    return F.create_map(*[F.lit(x) for name, code in pairs for x in (name, " " if name == "nbsp" else chr(code))])
+
+
 def _decode(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Named, decimal and hexadecimal entities as their characters, in one pass; unknown ones stay."""
+    names = _named()
+
+    def char(entity: Column) -> Column:
+        body = F.substring(entity, 2, 9)
+        number = F.when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.regexp_replace(body, "^#[xX]|;$", ""), 16, 10)).otherwise(
+            F.regexp_replace(body, "[#;]", "")).try_cast("int")
+        sound = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+        written = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, number).otherwise(F.lit(0x20))), 8, "0")), "UTF-32")
+        numeric = F.when(number == 160, " ").when(sound, written)
+        return F.coalesce(F.when(F.substring(body, 1, 1) == "#", numeric).otherwise(F.try_element_at(names, F.replace(body, F.lit(";"), F.lit("")))), entity)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), char)
+    joined = F.array_join(F.zip_with(F.split(text, ENTITY, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")
+    return F.when(F.regexp_like(text, F.lit(ENTITY)), joined).otherwise(text)
 
 
 def html_to_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -53,10 +71,10 @@ def html_to_text(pages: DataFrame, html: str = "html") -> DataFrame:
     body = F.col(html)
     for pattern, replacement in MARKUP_RULES:
         body = F.regexp_replace(body, pattern, replacement)
-    body = _decode(body)
+    body = let(body, _decode)
     for pattern, replacement in SPACE_RULES:
         body = F.regexp_replace(body, pattern, replacement)
-    title = F.trim(_decode(F.regexp_extract(F.col(html), TITLE, 1)))
+    title = F.trim(let(F.regexp_extract(F.col(html), TITLE, 1), _decode))
     return pages.withColumn("title", title).withColumn("text", F.trim(body))
 
 
@@ -77,7 +95,7 @@ def drop_boilerplate(df: DataFrame, min_docs: int) -> DataFrame:
     lines = df.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     hits = (
         lines.select("doc_id", "pos", F.md5(F.trim("line")).alias("line_key"))
-        .join(small_side(repeated), "line_key")
+        .join(repeated, "line_key")
         .groupBy("doc_id").agg(F.collect_set("pos").alias("_drop"))
     )
     kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_drop"), i))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamra.functions.text import collapse, hash32, let, ngrams, words
-from tamra.operators.joins import small_side
 from tamra.session import cut
 
 HASH_PRIME = 4_294_967_311  # the first prime above 2 ** 32
@@ -62,41 +61,51 @@ def minhash_bands(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
     return signature.select("doc_id", F.explode(F.array(*[F.md5(key) for key in keys])).alias("bucket"))
 
 
-def leader_pairs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], accept: Column,
-                 growth: int = 4) -> DataFrame:
-    """Verified ``leader, member`` pairs that cover every bucket, without forming all its pairs.
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame], accept: Column) -> DataFrame:
+    """``doc_id, cluster_id``: components over all pairs of a bucket that ``accept`` holds for.
 
-    In the first round the smallest id of a bucket leads it and every other member is compared
-    with it; that absorbs a group of near copies, however large, in linear time. Members that are
-    not accepted stay in the bucket and meet its next 4, then 16, ... smallest ids, until every
-    member was accepted or has led. Nothing is capped: the rounds end when no member waits.
-    ``members`` holds ``bucket, doc_id``; ``verify`` adds the columns ``accept`` reads.
+    First every member meets its bucket's smallest id, which joins a group of near copies,
+    however large, in linear time. Then the pairs that still lie in different components meet:
+    each bucket's largest component against the rest, so no component is paired with itself and
+    no accepted pair is missed. ``members`` holds ``bucket, doc_id``; ``verify`` adds to
+    ``leader, member`` the columns ``accept`` reads.
     """
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    waiting = cut(members.join(shared, "bucket"))
-    width, found = 1, []
-    while True:
-        first = W.partitionBy("bucket").orderBy("doc_id")
-        heads = waiting.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= width).select(
-            "bucket", F.col("doc_id").alias("leader"))
-        met = cut(waiting.withColumnRenamed("doc_id", "member").join(heads, "bucket").filter("leader < member"))
-        scored = verify(met.select("leader", "member").distinct())
-        accepted = cut(scored.filter(accept))
-        found.append(accepted)
-        settled = met.join(accepted.select("leader", "member"), ["leader", "member"]).select(
-            "bucket", F.col("member").alias("doc_id"))
-        done = settled.unionByName(heads.withColumnRenamed("leader", "doc_id")).distinct()
-        waiting = cut(waiting.join(done, ["bucket", "doc_id"], "left_anti"))
-        if waiting.isEmpty():
-            return reduce(DataFrame.unionByName, found).distinct()
-        width *= growth
+    firsts = members.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    rows = cut(members.join(firsts.select("bucket", "leader"), "bucket"))
+    met = rows.filter("leader < doc_id").select("leader", F.col("doc_id").alias("member")).distinct()
+    found = cut(verify(met).filter(accept).select("leader", "member"))
+
+    parts = rows.select("bucket", "doc_id").join(components(found), "doc_id", "left").select(
+        "bucket", "doc_id", F.coalesce("cluster_id", "doc_id").alias("part"))
+    sizes = parts.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("_n"))
+    split = sizes.groupBy("bucket").agg(F.max(F.struct("_n", "part")).alias("_top"), F.count(F.lit(1)).alias("_parts")).filter("_parts > 1")
+    parts = cut(parts.join(split.select("bucket", F.col("_top.part").alias("top")), "bucket"))
+    rest = parts.filter("part <> top").select("bucket", F.col("doc_id").alias("_a"), F.col("part").alias("_pa"))
+    crossed = rest.join(parts, "bucket").filter((F.col("part") != F.col("_pa")) & ((F.col("part") == F.col("top")) | (F.col("_a") < F.col("doc_id"))))
+    crossed = crossed.select(F.least("_a", "doc_id").alias("leader"), F.greatest("_a", "doc_id").alias("member")).distinct()
+    return components(found.unionByName(verify(crossed).filter(accept).select("leader", "member")))
+
+
+def _canonical(groups: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``leader, member``: every document (``doc_id``, in the group of ``head``) against the smallest id of its component."""
+    placed = groups.join(clusters.select(F.col("doc_id").alias("head"), "cluster_id"), "head", "left")
+    return placed.select(F.coalesce("cluster_id", "head").alias("leader"), F.col("doc_id").alias("member")).filter("leader < member")
 
 
 def minhash_pairs(df: DataFrame, n: int = 3, bands: int = 16, rows: int = 4, threshold: float = 0.7) -> DataFrame:
-    """Near duplicates ``leader, member, jaccard``: MinHash buckets, each pair verified by its exact Jaccard index."""
+    """Near duplicates ``leader, member, jaccard``: each document against the smallest id of its component.
+
+    Components are those of all pairs that share a MinHash bucket and reach ``threshold``, each
+    verified by its exact Jaccard index; equal sets are folded first. ``jaccard`` is that of the
+    row's two documents, which may be lower if others connect them.
+    """
     sets = df.select("doc_id", F.transform(shingle_set(F.col("text"), n), hash32).alias("hashes"))
-    sets = cut(sets.select("doc_id", F.array_distinct("hashes").alias("hashes")))
-    members = minhash_bands(sets.select("doc_id", F.explode("hashes").alias("h")), bands, rows)
+    sets = cut(sets.select("doc_id", F.array_sort(F.array_distinct("hashes")).alias("hashes")).filter(F.size("hashes") > 0))
+    keyed = sets.select("doc_id", F.sha1(F.array_join("hashes", ",")).alias("_same"))
+    heads = keyed.groupBy("_same").agg(F.min("doc_id").alias("head"))
+    groups = cut(keyed.join(heads, "_same").select("doc_id", "head"))
+    distinct = sets.join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
+    members = minhash_bands(distinct.select("doc_id", F.explode("hashes").alias("h")), bands, rows)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("doc_id").alias("leader"), F.col("hashes").alias("_a"))
@@ -106,7 +115,7 @@ def minhash_pairs(df: DataFrame, n: int = 3, bands: int = 16, rows: int = 4, thr
         return both.select("leader", "member",
                            F.round(common / (F.size("_a") + F.size("_b") - common), 6).alias("jaccard"))
 
-    return leader_pairs(members, verify, F.col("jaccard") >= threshold)
+    return verify(_canonical(groups, bucket_components(members, verify, F.col("jaccard") >= threshold)))
 
 
 def simhash(df: DataFrame) -> DataFrame:
@@ -133,35 +142,33 @@ SIM_BLOCKS = (("hi", 0, 11), ("hi", 11, 11), ("hi", 22, 10), ("lo", 0, 11), ("lo
 
 
 def simhash_pairs(df: DataFrame, most: int = 3) -> DataFrame:
-    """Near duplicates ``leader, member, distance`` at Hamming distance up to ``most`` (at most 3).
+    """Near duplicates ``leader, member, distance``: each document against the smallest id of its component.
 
-    Two values that differ in up to three bits agree in at least three of six blocks, so every
-    choice of three blocks (20 keys of about 32 bits) is a bucket key. Equal values are folded
-    into one first.
+    Components are those of all pairs at Hamming distance up to ``most`` (at most 3). Two values
+    that differ in up to three bits agree in at least three of six blocks, so every choice of
+    three blocks (20 keys of about 32 bits) is a bucket key. Equal values are folded first.
+    ``distance`` is that of the row's two documents, which may be larger if others connect them.
     """
     if most > 3:
         raise ValueError("three of six blocks are sure to agree only up to distance 3")
     hashes = cut(simhash(df))
-    heads = hashes.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"))
-    copies = (
-        hashes.withColumnRenamed("doc_id", "member").join(heads.withColumnRenamed("doc_id", "leader"), ["hi", "lo"])
-        .filter("member > leader").select("leader", "member", F.lit(0).alias("distance"))
-    )
+    heads = hashes.groupBy("hi", "lo").agg(F.min("doc_id").alias("head"))
+    groups = hashes.join(heads, ["hi", "lo"]).select("doc_id", "head")
     blocks = [F.shiftright(half, start).bitwiseAND(F.lit((1 << width) - 1)).cast("string")
               for half, start, width in SIM_BLOCKS]
     keys = F.array(*[
         F.concat_ws("-", F.lit("".join(map(str, chosen))), *[blocks[i] for i in chosen])
         for chosen in combinations(range(len(SIM_BLOCKS)), 3)])
-    members = heads.select("doc_id", F.explode(keys).alias("bucket"))
+    members = heads.select(F.col("head").alias("doc_id"), F.explode(keys).alias("bucket"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = heads.select(F.col("doc_id").alias("leader"), F.col("hi").alias("_h1"), F.col("lo").alias("_l1"))
-        right = heads.select(F.col("doc_id").alias("member"), F.col("hi").alias("_h2"), F.col("lo").alias("_l2"))
+        left = hashes.select(F.col("doc_id").alias("leader"), F.col("hi").alias("_h1"), F.col("lo").alias("_l1"))
+        right = hashes.select(F.col("doc_id").alias("member"), F.col("hi").alias("_h2"), F.col("lo").alias("_l2"))
         distance = (F.bit_count(F.col("_h1").bitwiseXOR(F.col("_h2")))
                     + F.bit_count(F.col("_l1").bitwiseXOR(F.col("_l2"))))
         return pairs.join(left, "leader").join(right, "member").select("leader", "member", distance.alias("distance"))
 
-    return leader_pairs(members, verify, F.col("distance") <= most).unionByName(copies)
+    return verify(_canonical(groups, bucket_components(members, verify, F.col("distance") <= most)))
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -218,7 +225,7 @@ def gram_keys(df: DataFrame, key: str, n: int, text: str = "text") -> DataFrame:
 def decontaminate(df: DataFrame, bench: DataFrame, n: int = 8, most: float = 0.0) -> DataFrame:
     """Add ``n_grams``, ``n_shared`` and ``contaminated``: overlap of each document with held-out items."""
     held_out = gram_keys(bench.withColumn("_one", F.lit(1)), "_one", n).select("g", "g2").distinct()
-    shared = gram_keys(df, "doc_id", n).join(small_side(held_out), ["g", "g2"], "left_semi").groupBy("doc_id").agg(
+    shared = gram_keys(df, "doc_id", n).join(held_out, ["g", "g2"], "left_semi").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_shared"))
     total = F.size(F.array_distinct(ngrams(words(F.col("text")), n))).cast("bigint")
     return (

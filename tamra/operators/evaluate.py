@@ -41,7 +41,7 @@ def normalise_answer(text: Column) -> Column:
     day = parse_date(text)
     plain = F.regexp_replace(collapse(arabic_digits(text)), r"\b(?:a|an|the)\b ?|(?<=\d),(?=\d{3})", "")
     plain = F.trim(F.regexp_replace(plain, r"^[^\p{L}\p{N}]+|[^\p{L}\p{M}\p{N}]+$", ""))
-    return F.when((day["precision"] == "day") & (F.length(text) <= 40), day["ce_date"].cast("string")).otherwise(plain)
+    return F.when(day["precision"] == "day", day["ce_date"].cast("string")).otherwise(plain)
 
 
 def answer_match(runs: DataFrame, golden: DataFrame) -> DataFrame:
@@ -178,16 +178,29 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
     return row.withColumn("verdict", verdict).drop("_same")
 
 
+def poisson_limits(bits: int = 32) -> list[int]:
+    """Draws of ``bits`` bits at or above the k-th limit stand for k + 1 copies or more (mean one)."""
+    limits, share, total = [], math.exp(-1), 0.0
+    while True:
+        total += share
+        limit = round(total * 2**bits)
+        if limit >= 2**bits:
+            return limits
+        limits.append(limit)
+        share /= len(limits)
+
+
 def bootstrap(scores: DataFrame, replicas: int, seed: int) -> DataFrame:
-    """``config_id, replica, mean``: each item gets a seeded number of copies 0..4 in each replica (Poisson draws).
+    """``config_id, replica, mean``: each item gets a seeded number of copies in each replica (Poisson draws).
 
-    Counts follow a Poisson law with mean one, so no item list is gathered for the drawing.
+    Counts follow a Poisson law with mean one, to the 32 bits of the draw, so no item list is gathered.
     """
     rows = scores.select("config_id", "item_id", "score", F.explode(F.sequence(F.lit(1), F.lit(replicas))).alias("replica"))
     text = F.concat_ws("-", F.lit(str(seed)), F.col("replica").cast("string"), F.col("item_id").cast("string"))
-    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
-    # Cumulative Poisson probabilities for mean one.
-    times = F.when(draw < 0.367879, 0).when(draw < 0.735759, 1).when(draw < 0.919699, 2).when(draw < 0.981012, 3).otherwise(4)
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    times = F.lit(0)
+    for limit in poisson_limits():
+        times = times + F.when(draw >= limit, 1).otherwise(0)
     weighted = rows.withColumn("_w", times)
     return weighted.groupBy("config_id", "replica").agg((F.sum(F.col("score") * F.col("_w")) / F.sum("_w")).alias("mean"))
 
@@ -195,17 +208,19 @@ def bootstrap(scores: DataFrame, replicas: int, seed: int) -> DataFrame:
 def frontier(scores: DataFrame) -> DataFrame:
     """Configurations that no other beats in accuracy at the same or lower cost.
 
-    The best accuracy of all cheaper ones is a running maximum over cost buckets.
+    The best accuracy of all cheaper ones is a running maximum over cost buckets. A configuration
+    without a cost counts as dearer than all others.
     """
-    best = scores.groupBy("cost").agg(F.max("accuracy").alias("_best"))
-    marked = with_value_bucket(best, "cost")
-    inside = W.partitionBy("_bucket").orderBy("cost").rowsBetween(W.unboundedPreceding, -1)
+    scores = scores.withColumn("_cost", F.coalesce(F.col("cost").cast("double"), F.lit(float("inf"))))
+    best = scores.groupBy("_cost").agg(F.max("accuracy").alias("_best"))
+    marked = with_value_bucket(best, "_cost")
+    inside = W.partitionBy("_bucket").orderBy("_cost").rowsBetween(W.unboundedPreceding, -1)
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # over the few bucket rows only
     heads = marked.groupBy("_bucket").agg(F.max("_best").alias("_m")).select("_bucket", F.max("_m").over(earlier).alias("_off"))
     reach = marked.withColumn("_in", F.max("_best").over(inside)).join(heads, "_bucket").select(
-        "cost", "_best", F.greatest("_in", "_off").alias("_cheaper"))
-    return scores.join(reach, "cost").filter(
-        (F.col("accuracy") == F.col("_best")) & (F.col("_cheaper").isNull() | (F.col("accuracy") > F.col("_cheaper")))).drop("_best", "_cheaper")
+        "_cost", "_best", F.greatest("_in", "_off").alias("_cheaper"))
+    return scores.join(reach, "_cost").filter(
+        (F.col("accuracy") == F.col("_best")) & (F.col("_cheaper").isNull() | (F.col("accuracy") > F.col("_cheaper")))).drop("_best", "_cheaper", "_cost")
 
 
 def scorecard(metrics: DataFrame, limits: DataFrame) -> DataFrame:
@@ -214,7 +229,7 @@ def scorecard(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     ``limits``: ``metric, direction`` (``min`` or ``max``), ``limit_value, hard``. ``metrics``: one column per metric.
     """
     names = [c for c in metrics.columns if c != "config_id"]
-    long = metrics.unpivot(["config_id"], names, "metric", "value").join(F.broadcast(limits) if len(names) < 10_000 else limits, "metric")
+    long = metrics.unpivot(["config_id"], names, "metric", "value").join(limits, "metric")
     ok = F.when(F.col("direction") == "min", F.col("value") >= F.col("limit_value")).otherwise(F.col("value") <= F.col("limit_value"))
     judged = long.withColumn("passed", F.coalesce(ok, F.lit(False)))
     verdict = judged.groupBy("config_id").agg(F.bool_and(F.col("passed") | ~F.col("hard")).alias("qualified"))
@@ -298,13 +313,17 @@ def group_gap(scores: DataFrame, attribute: str) -> DataFrame:
 
 
 def preference_pairs(rankings: DataFrame) -> DataFrame:
-    """``prompt_id, chosen, rejected``: each ranked answer (``answer_id, rank`` from 1) against the next one.
+    """``prompt_id, chosen, rejected``: each ranked answer (``answer_id, rank``) against those of the next rank.
 
+    Ranks may repeat or leave gaps: the next rank is the next one that occurs, so no answer is lost.
     Neighbours carry the whole ranking; all ordered pairs of a prompt would grow with its square.
     The join key is prompt and rank, so a prompt with many answers is spread.
     """
-    a = rankings.select("prompt_id", F.col("answer_id").alias("chosen"), F.col("rank").alias("_rank"))
-    b = rankings.select("prompt_id", F.col("answer_id").alias("rejected"), (F.col("rank") - 1).alias("_rank"))
+    ranks = rankings.select("prompt_id", "rank").distinct()
+    ordered = W.partitionBy("prompt_id").orderBy("rank")
+    steps = ranks.select("prompt_id", "rank", F.lead("rank").over(ordered).alias("_next"))
+    a = rankings.join(steps, ["prompt_id", "rank"]).select("prompt_id", F.col("answer_id").alias("chosen"), F.col("_next").alias("_rank"))
+    b = rankings.select("prompt_id", F.col("answer_id").alias("rejected"), F.col("rank").alias("_rank"))
     return a.join(b, ["prompt_id", "_rank"]).select("prompt_id", "chosen", "rejected")
 
 

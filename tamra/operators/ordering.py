@@ -4,7 +4,8 @@ A window that is ordered over a whole corpus, or over a group that may hold a
 third of it, runs in a single task. Every function here first cuts the order
 into buckets that are monotone in the order, works inside (group, bucket), and
 adds what the earlier buckets of the same group contribute. The table of buckets
-is small: at most ``buckets`` rows per group.
+is small: a row for each bucket and group. Null keys and null order values are kept: a null key
+is a group, a null value comes first.
 """
 
 from __future__ import annotations
@@ -20,30 +21,40 @@ BUCKET = "_bucket"
 HASH_DIGITS = 3  # 16 ** 3 buckets per group for an order by hash
 
 
-def with_value_bucket(df: DataFrame, column: str, buckets: int = 256) -> DataFrame:
-    """Add ``_bucket``, non-decreasing in the numeric ``column``.
+ROWS_PER_BUCKET = 50_000
+MOST_BUCKETS = 10_000
 
-    The cut points are approximate quantiles (at most ``buckets`` numbers reach
-    the driver) and are written into the plan, so a recomputed task puts each
-    row into the same bucket again. Any cut points give exact results.
+
+def with_value_bucket(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bucket``, non-decreasing in the numeric ``column``; nulls have a bucket of their own, before all others.
+
+    The cut points are approximate quantiles (as many as the rows call for, at most ``MOST_BUCKETS``
+    numbers) and are written into the plan, so a recomputed task puts each row into the same
+    bucket again. Any cut points give exact results.
     """
+    value = F.col(column).cast("double")
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(8, df.count() // ROWS_PER_BUCKET))
     marks = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), marks, 2000)).first()
+    row = df.agg(F.percentile_approx(value, marks, 4 * buckets)).first() if marks else [None]
     cuts = sorted(set(row[0] or []))
     if not cuts:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, F.when(value.isNull(), -1.0).otherwise(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
-    numeric = df.withColumn("_order", F.col(column).cast("double"))
-    return Bucketizer(splits=splits, inputCol="_order", outputCol=BUCKET).transform(numeric).drop("_order")
+    numeric = df.withColumn("_order", value)
+    placed = Bucketizer(splits=splits, inputCol="_order", outputCol=BUCKET, handleInvalid="keep").transform(numeric)
+    return placed.withColumn(BUCKET, F.when(F.col("_order").isNull(), -1.0).otherwise(F.col(BUCKET))).drop("_order")
 
 
 def with_hash_bucket(df: DataFrame, hashed: str, digits: int = HASH_DIGITS) -> DataFrame:
-    """Add ``_bucket``, the leading hex digits of a hash: even by construction."""
-    return df.withColumn(BUCKET, F.substring(F.col(hashed), 1, digits))
+    """Add ``_bucket``, the leading hex digits of a hash: even by construction; "" for a null."""
+    return df.withColumn(BUCKET, F.coalesce(F.substring(F.col(hashed), 1, digits), F.lit("")))
 
 
 def _attach(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(table, keys)
+    """Join on keys that may be null; the bucket itself never is."""
+    both = df.alias("_d").join(table.alias("_t"), [F.col(f"_d.{k}").eqNullSafe(F.col(f"_t.{k}")) for k in keys])
+    return both.select("_d.*", *[f"_t.{c}" for c in table.columns if c not in keys])
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), out: str = "rn") -> DataFrame:
@@ -64,7 +75,7 @@ def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), out
 
 
 def rank_by_value(df: DataFrame, column: str, by: Sequence[str] = (), out: str = "rn",
-                  buckets: int = 256) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Row number by a unique numeric column."""
     return row_numbers(with_value_bucket(df, column, buckets), [column], by, out)
 
@@ -76,7 +87,7 @@ def rank_by_hash(df: DataFrame, key: Column, tie: str, by: Sequence[str] = (), o
 
 
 def running(df: DataFrame, value: Column, column: str, by: Sequence[str] = (), out: str = "before",
-            how: str = "sum", buckets: int = 256) -> DataFrame:
+            how: str = "sum", buckets: int | None = None) -> DataFrame:
     """Sum (or max) of ``value`` over the earlier rows of the group, the row itself left out.
 
     The first row of a group gets 0 for ``sum`` and null for ``max``.
@@ -98,7 +109,7 @@ def running(df: DataFrame, value: Column, column: str, by: Sequence[str] = (), o
 
 
 def following(df: DataFrame, column: str, order: Sequence[str], by: Sequence[str], out: str = "next_value",
-              buckets: int = 256) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Value of ``column`` (numeric or time, first in ``order``) in the next row of the group."""
     timed = df.schema[column].dataType.typeName().startswith("timestamp")
     seconds = df.withColumn("_key", (F.col(column).cast("timestamp") if timed else F.col(column)).cast("double"))

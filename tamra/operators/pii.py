@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamra.functions.personal import KINDS, PATTERNS, Redaction, valid
+from tamra.functions.personal import KINDS, SPARK_PATTERNS, Redaction, plain_digits, valid
 from tamra.functions.text import let, ngrams, surface_tokens
 from tamra.operators.dedup import gram_keys
-from tamra.operators.joins import small_side
 
 # Words that lead a person's name.
-HONORIFIC = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+)"
+HONORIFIC = r"(?:(?<![A-Za-z0-9_])(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+)"
 
 
 def detect(df: DataFrame, kind: str) -> DataFrame:
     """``doc_id, pii_type, value``: every valid value of one kind, in the order found."""
-    found = F.filter(F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0)), lambda v: valid(kind, v))
-    return df.select("doc_id", F.lit(kind).alias("pii_type"), F.explode_outer(found).alias("value")).filter("value IS NOT NULL")
+    found = F.filter(F.regexp_extract_all("text", F.lit(SPARK_PATTERNS[kind]), F.lit(0)), lambda v: valid(kind, v))
+    return df.select("doc_id", F.lit(kind).alias("pii_type"), F.explode_outer(found).alias("value")).filter("value IS NOT NULL").withColumn(
+        "value", plain_digits(F.col("value")))
 
 
 def raw_spans(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
@@ -31,10 +31,10 @@ def raw_spans(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """
     per_kind = []
     for kind in kinds:
-        found = F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0))
-        gaps = F.transform(F.split("text", PATTERNS[kind], -1), F.length)
+        found = F.regexp_extract_all("text", F.lit(SPARK_PATTERNS[kind]), F.lit(0))
+        gaps = F.transform(F.split("text", SPARK_PATTERNS[kind], -1), F.length)
         per_kind.append(F.struct(F.lit(kind).alias("pii_type"), found.alias("m"),
-                                 F.when(F.regexp_like("text", F.lit(PATTERNS[kind])), gaps).alias("g")))
+                                 F.when(F.regexp_like("text", F.lit(SPARK_PATTERNS[kind])), gaps).alias("g")))
     kept = df.select("doc_id", F.inline(F.array(*per_kind))).filter(F.size("m") > 0)
     rows = kept.select("doc_id", "pii_type", F.posexplode(F.arrays_zip("m", F.slice("g", F.lit(1), F.size("m")).alias("g"))))
     order = W.partitionBy("doc_id", "pii_type").orderBy("pos")
@@ -45,7 +45,7 @@ def raw_spans(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     check = F.lit(False)
     for kind in kinds:
         check = check | ((F.col("pii_type") == kind) & valid(kind, F.col("value")))
-    return placed.filter(check).withColumn("end", F.col("start") + F.length("value"))
+    return placed.filter(check).withColumn("end", F.col("start") + F.length("value")).withColumn("value", plain_digits(F.col("value")))
 
 
 def pii_hits(df: DataFrame, kinds: Sequence[str] = KINDS, salt: str = "") -> DataFrame:
@@ -73,7 +73,7 @@ def redact_column(text: Column, kinds: Sequence[str] = KINDS, how: Redaction = R
 
 
 def _replace(kind: str, how: Redaction) -> Callable[[Column], Column]:
-    pattern = PATTERNS[kind]
+    pattern = SPARK_PATTERNS[kind]
 
     def build(text: Column) -> Column:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -103,14 +103,19 @@ def redaction_pivot(hits: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     return hits.groupBy("source").agg(*[F.count_if(F.col("pii_type") == kind).alias(kind.lower()) for kind in kinds])
 
 
-def detect_names(df: DataFrame, gazetteer: DataFrame, longest: int = 2) -> DataFrame:
-    """``doc_id, name, how``: names led by an honorific, and names of the ``gazetteer`` (column ``name``)."""
+def detect_names(df: DataFrame, gazetteer: DataFrame, longest: int | None = None) -> DataFrame:
+    """``doc_id, name, how``: names led by an honorific, and names of the ``gazetteer`` (column ``name``).
+
+    Phrases of up to ``longest`` tokens are looked up; by default as many as the longest name has.
+    """
+    if longest is None:
+        longest = gazetteer.agg(F.max(F.size(surface_tokens(F.col("name"))))).first()[0] or 1
     led = df.select("doc_id", F.explode_outer(F.regexp_extract_all("text", F.lit(HONORIFIC), F.lit(1))).alias("name")).filter(
         "name IS NOT NULL").withColumn("how", F.lit("honorific"))
     phrases = let(surface_tokens(F.col("text")), lambda t: F.flatten(F.array(*[ngrams(t, n) for n in range(1, longest + 1)])))
     listed = (
         df.select("doc_id", F.explode_outer(phrases).alias("_phrase")).filter("_phrase IS NOT NULL").withColumn("_key", F.lower("_phrase"))
-        .join(small_side(gazetteer.select(F.lower("name").alias("_key")).distinct()), "_key")
+        .join(gazetteer.select(F.lower("name").alias("_key")).distinct(), "_key")
         .select("doc_id", F.col("_phrase").alias("name"), F.lit("gazetteer").alias("how"))
     )
     return led.unionByName(listed)
@@ -142,7 +147,7 @@ def leak_check(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """``pii_type, n_leaks`` for every type: all zero on a redacted table."""
     counts = F.array(*[
         F.struct(F.lit(kind).alias("pii_type"), F.size(F.filter(
-            F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0)), _is_valid(kind))).alias("n"))
+            F.regexp_extract_all("text", F.lit(SPARK_PATTERNS[kind]), F.lit(0)), _is_valid(kind))).alias("n"))
         for kind in kinds])
     return df.select(F.inline(counts)).groupBy("pii_type").agg(F.sum("n").alias("n_leaks"))
 
@@ -158,7 +163,7 @@ def memorised(outputs: DataFrame, corpus: DataFrame, n: int = 8, key: str = "out
     """
     grams = gram_keys(outputs, key, n)
     wanted = grams.select("g", "g2").distinct()
-    seen = gram_keys(corpus, "doc_id", n).select("g", "g2").join(small_side(wanted), ["g", "g2"], "left_semi").distinct()
+    seen = gram_keys(corpus, "doc_id", n).select("g", "g2").join(wanted, ["g", "g2"], "left_semi").distinct()
     return (
         grams.join(seen.withColumn("_hit", F.lit(1)), ["g", "g2"], "left")
         .groupBy(key).agg(F.count(F.lit(1)).alias("n_grams"), F.count("_hit").alias("n_repeated"))

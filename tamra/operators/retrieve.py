@@ -11,9 +11,8 @@ from pyspark.sql import Window as W
 
 from tamra.functions.text import let, ngrams, words
 from tamra.operators.index import bm25_weight, corpus_size, term_statistics
-from tamra.operators.joins import small_side
 from tamra.operators.ordering import following
-from tamra.session import cut, spread
+from tamra.session import cut
 
 QUERY_BLOCK = 2048
 RRF = 60
@@ -121,9 +120,9 @@ def nearest_cells(queries: DataFrame, cells: DataFrame, nprobe: int) -> DataFram
 def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, nprobe: int, places: int = 6) -> DataFrame:
     """Approximate top-k: only the vectors of the ``nprobe`` closest cells are scored (an equi-join on the cell)."""
     probes = nearest_cells(queries, cells, nprobe).select("query_id", "cell", unit(F.col("query_embedding")).alias("_q"))
-    scaled = spread(vectors.select("chunk_id", "cell", "embedding"), "chunk_id").select(
+    scaled = vectors.select("chunk_id", "cell", "embedding").select(
         "chunk_id", "cell", unit(F.col("embedding")).alias("_v"))  # scaled once, not once per pair
-    scored = scaled.join(small_side(probes, 100_000), "cell").select(
+    scored = scaled.join(probes, "cell").select(
         "query_id", "chunk_id", F.round(dot(F.col("_q"), F.col("_v")), places).alias("score"))
     return top(scored, k)
 
@@ -139,10 +138,10 @@ def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | N
     terms = query_terms(queries)
     wanted = terms.select("term").distinct()
     base = postings if where is None else postings.filter(where)
-    relevant = postings.join(small_side(wanted), "term", "left_semi")
+    relevant = postings.join(wanted, "term", "left_semi")
     statistics = term_statistics(relevant)
-    weights = base.join(small_side(statistics), "term").select("term", "chunk_id", bm25_weight(n, mean).alias("w"))
-    scored = weights.join(small_side(terms), "term").groupBy("query_id", "chunk_id").agg(F.round(F.sum("w"), places).alias("score"))
+    weights = base.join(statistics, "term").select("term", "chunk_id", bm25_weight(n, mean).alias("w"))
+    scored = weights.join(terms, "term").groupBy("query_id", "chunk_id").agg(F.round(F.sum("w"), places).alias("score"))
     return top(scored, k)
 
 
@@ -179,15 +178,20 @@ def coverage(query: Column, text: Column) -> Column:
 
 
 def assemble(ranked: DataFrame, chunks: DataFrame, budget: int) -> DataFrame:
-    """``query_id, n_chunks, n_tokens, context``: best chunks first while they fit into ``budget`` tokens, each cited."""
+    """``query_id, n_chunks, n_tokens, context``: best chunks first while they fit into ``budget`` tokens, each cited.
+
+    A query whose best chunk does not fit keeps its row, with an empty context.
+    """
     texts = ranked.select("query_id", "chunk_id", "rank").join(
         chunks.select("chunk_id", "text", "n_tokens", "source", "start", "end"), "chunk_id")
     order = W.partitionBy("query_id").orderBy("rank")
     fitting = texts.withColumn("_total", F.sum("n_tokens").over(order.rowsBetween(W.unboundedPreceding, 0))).filter(F.col("_total") <= budget)
     cite = F.format_string("[%d] %s:%d-%d ", F.col("rank"), F.col("source"), F.col("start"), F.col("end"))
-    return fitting.withColumn("_line", F.concat(cite, F.col("text"))).groupBy("query_id").agg(
+    made = fitting.withColumn("_line", F.concat(cite, F.col("text"))).groupBy("query_id").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "_line"))), lambda x: x["_line"]), "\n").alias("context"))
+    return (ranked.select("query_id").distinct().join(made, "query_id", "left")
+            .na.fill(0, ["n_chunks", "n_tokens"]).na.fill("", ["context"]))
 
 
 def filtered_search(queries: DataFrame, vectors: DataFrame, k: int, where: Column, when: str = "before") -> DataFrame:
@@ -233,9 +237,9 @@ def count_answers(facts: DataFrame, by: Sequence[str], where: Column | None = No
 
 # Phrases that try to steer a model from inside a text.
 INJECTION_PATTERNS = (
-    ("override", r"(?i)\b(?:ignore|disregard|forget)\b.{0,40}\b(?:previous|above|prior|all)\b.{0,20}\b(?:instruction|rule|prompt)s?"),
-    ("exfiltrate", r"(?i)\b(?:reveal|print|show|repeat)\b.{0,40}\b(?:system prompt|hidden|password|secret|token)"),
-    ("tool", r"(?i)\b(?:call|run|execute|invoke)\b.{0,20}\b(?:tool|function|command|shell)\b"),
+    ("override", r"(?i)\b(?:ignore|disregard|forget)\b(?s:.){0,40}\b(?:previous|above|prior|all)\b(?s:.){0,20}\b(?:instruction|rule|prompt)s?"),
+    ("exfiltrate", r"(?i)\b(?:reveal|print|show|repeat)\b(?s:.){0,40}\b(?:system prompt|hidden|password|secret|token)"),
+    ("tool", r"(?i)\b(?:call|run|execute|invoke)\b(?s:.){0,20}\b(?:tool|function|command|shell)\b"),
     ("role_play", r"(?i)\b(?:you are now|pretend to be|act as|roleplay)\b"),
     ("markup", r"<\|[a-z_]+>|<[a-z_]+\|>"),
 )
@@ -255,26 +259,32 @@ def injection_by_conversation(turns: DataFrame) -> DataFrame:
         F.count_distinct("kind").alias("n_kinds")).withColumn("across_turns", F.col("n_turns") > 1)
 
 
-DAY_LEVELS = 18  # 2 ** 18 days: about 700 years
-
-
 def as_of(queries: DataFrame, facts: DataFrame, keep: Sequence[str] = ("query_id",)) -> DataFrame:
     """The fact of ``key`` valid at ``valid_at`` as known at ``known_at``; null ends are open.
 
     A join on the key alone would pair every query with every version of a hot key. Each validity
     interval is therefore cut into aligned spans of 1, 2, 4, ... days (at most two per length), and
     each query looks up the one span of every length that holds its day: an equi-join on
-    (key, length, span) in which a hot key is spread over time.
+    (key, length, span) in which a hot key is spread over time. Days count from the earliest to
+    the latest one in either table, so every date is inside; only lengths that occur are looked up.
     """
     day = "bigint"
-    far = 1 << DAY_LEVELS
-    shift = 1 << (DAY_LEVELS - 1)  # days before 1970 stay positive
 
     def number(ts: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(F.lit(far), F.unix_date(ts.cast("date")).cast(day) + shift))
+        return F.unix_date(ts.cast("date")).cast(day)
+
+    asked_days = queries.agg(F.min(number(F.col("valid_at"))), F.max(number(F.col("valid_at")))).first()
+    if asked_days[0] is None:
+        return queries.select(*keep, "key").withColumn("value", F.lit(None).cast(facts.schema["value"].dataType))
+    first, far = asked_days[0], asked_days[1] - asked_days[0] + 1  # a fact matters only where a query asks
+    levels = max(far - 1, 1).bit_length()
+    whole = 1 << levels
+
+    def inside(n: Column) -> Column:
+        return F.greatest(F.lit(0).cast(day), F.least(F.lit(whole).cast(day), n - F.lit(first)))
 
-    begin = number(F.col("valid_from"))
-    end = F.when(F.col("valid_to").isNull(), F.lit(far)).otherwise(F.least(F.lit(far), number(F.col("valid_to")) + 1)).cast(day)
+    begin = inside(number(F.col("valid_from")))
+    end = F.when(F.col("valid_to").isNull(), F.lit(whole).cast(day)).otherwise(inside(number(F.col("valid_to")) + 1))
 
     def spans(level: int) -> Column:
         a = F.ceil(F.col("_a") / (1 << level)).cast(day)
@@ -283,13 +293,13 @@ def as_of(queries: DataFrame, facts: DataFrame, keep: Sequence[str] = ("query_id
         right = F.when((a < b) & (b % 2 == 1), F.struct(F.lit(level).alias("level"), (b - 1).alias("span")))
         return F.array(left, right)
 
-    every = F.array_compact(F.flatten(F.array(*[spans(level) for level in range(DAY_LEVELS + 1)])))
-    top_span = F.when((F.col("_a") == 0) & (F.col("_b") == far), F.array(F.struct(F.lit(DAY_LEVELS).alias("level"), F.lit(0).cast(day).alias("span"))))
-    placed = facts.withColumn("_a", begin).withColumn("_b", end).withColumn(
-        "_s", F.explode(F.array_distinct(F.concat(every, F.coalesce(top_span, F.array().cast("array<struct<level:int,span:bigint>>"))))))
+    every = F.array_compact(F.flatten(F.array(*[spans(level) for level in range(levels + 1)])))
+    placed = facts.withColumn("_a", begin).withColumn("_b", end).filter("_a < _b").withColumn("_s", F.explode(F.array_distinct(every)))
     placed = placed.select("key", "value", "valid_from", "valid_to", "sys_from", "sys_to", "_s.level", "_s.span")
-    asked = queries.withColumn("_day", number(F.col("valid_at"))).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(DAY_LEVELS)))).withColumn(
-        "span", F.floor(F.col("_day") / F.pow(F.lit(2), F.col("level"))).cast(day))
+    used = sorted(row[0] for row in placed.select("level").distinct().collect())  # at most one a power of two
+    asked = queries.withColumn("_day", number(F.col("valid_at")) - F.lit(first)).withColumn(
+        "level", F.explode(F.array(*[F.lit(i) for i in used]).cast("array<int>")))
+    asked = asked.withColumn("span", F.floor(F.col("_day") / F.pow(F.lit(2), F.col("level"))).cast(day))
     met = asked.join(placed, ["key", "level", "span"]).filter(
         (F.col("valid_from") <= F.col("valid_at")) & (F.col("valid_to").isNull() | (F.col("valid_at") < F.col("valid_to")))
         & (F.col("sys_from") <= F.col("known_at")) & (F.col("sys_to").isNull() | (F.col("known_at") < F.col("sys_to"))))

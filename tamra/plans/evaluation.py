@@ -50,7 +50,7 @@ def _overlap_sql(n):
     grams = S.grams("w", n)
     return f"""
 WITH a AS (SELECT pair_id, g, count(*) AS na FROM (SELECT doc_id AS pair_id, unnest({grams}) AS g FROM (SELECT doc_id, {S.words()} AS w FROM documents)) GROUP BY 1, 2),
-     b AS (SELECT pair_id, g, count(*) AS nb FROM (SELECT doc_id AS pair_id, unnest({grams}) AS g FROM (SELECT doc_id, {S.words('b.text')} AS w FROM documents d JOIN benchmark b ON item_id = doc_id % 40)) GROUP BY 1, 2),
+     b AS (SELECT pair_id, g, count(*) AS nb FROM (SELECT doc_id AS pair_id, unnest({grams}) AS g FROM (SELECT doc_id, {S.words('b.text')} AS w FROM documents d JOIN benchmark b ON item_id = doc_id % (SELECT count(*) FROM benchmark))) GROUP BY 1, 2),
      m AS (SELECT pair_id, CAST(sum(least(coalesce(na, 0), coalesce(nb, 0))) AS BIGINT) AS c, sum(coalesce(na, 0)) AS ta, sum(coalesce(nb, 0)) AS tb FROM a FULL JOIN b USING (pair_id, g) GROUP BY 1)
 SELECT pair_id, c AS n_common, round(CASE WHEN ta > 0 THEN c / ta ELSE 0.0 END, 6) AS "precision", round(CASE WHEN tb > 0 THEN c / tb ELSE 0.0 END, 6) AS recall,
   round(CASE WHEN c > 0 THEN 2.0 * c / (ta + tb) ELSE 0.0 END, 6) AS f1 FROM m"""
@@ -59,8 +59,9 @@ SELECT pair_id, c AS n_common, round(CASE WHEN ta > 0 THEN c / ta ELSE 0.0 END,
 def _overlap(n):
     def run(spark, sf):
         bench = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("expected"))
+        n_items = bench.count()
         pairs = table(spark, sf, "documents").select(
-            F.col("doc_id").alias("pair_id"), F.col("text").alias("answer"), (F.col("doc_id") % 40).alias("item_id")).join(bench, "item_id")
+            F.col("doc_id").alias("pair_id"), F.col("text").alias("answer"), (F.col("doc_id") % n_items).alias("item_id")).join(bench, "item_id")
         return rounded(evaluate.overlap_metrics(pairs, n), "precision", "recall", "f1")
     return run
 
@@ -81,13 +82,13 @@ def pass_at_k(spark, sf):
 @query("e5_groundedness", f"""
 WITH s AS (SELECT run_id, row_number() OVER () AS s, {S.words('x')} AS w FROM (SELECT item_id AS run_id, unnest(string_split_regex(text, '[.!?\\n]+')) AS x FROM benchmark) WHERE length(trim(x)) > 0),
      c AS (SELECT DISTINCT run_id, s, unnest(CASE WHEN len(w) >= 3 THEN {S.grams('w', 3)} ELSE [array_to_string(w, ' ')] END) AS g FROM s),
-     d AS (SELECT doc_id % 40 AS run_id, {S.words()} AS w FROM documents),
+     d AS (SELECT doc_id % (SELECT count(*) FROM benchmark) AS run_id, {S.words()} AS w FROM documents),
      r AS (SELECT DISTINCT run_id, unnest(list_concat({S.grams('w', 1)}, {S.grams('w', 2)}, {S.grams('w', 3)})) AS g, 1 AS hit FROM d),
      p AS (SELECT run_id, s, count(hit) / count(*) >= 0.1 AS ok FROM c LEFT JOIN r USING (run_id, g) GROUP BY 1, 2)
 SELECT run_id, count(*) AS n_sentences, count(*) FILTER (ok) AS n_supported, round(count(*) FILTER (ok) / count(*), 6) AS groundedness FROM p GROUP BY 1""")
 def groundedness(spark, sf):
     runs = table(spark, sf, "benchmark").select(F.col("item_id").alias("run_id"), F.col("text").alias("answer"))
-    retrieved = table(spark, sf, "documents").select((F.col("doc_id") % 40).alias("run_id"), "text")
+    retrieved = table(spark, sf, "documents").select((F.col("doc_id") % runs.count()).alias("run_id"), "text")
     return rounded(evaluate.support(runs, retrieved, 3, 0.1), "groundedness")
 
 
@@ -164,10 +165,23 @@ def compare(spark, sf):
     return rounded(evaluate.compare(config("click"), config("view")), "mean_a", "mean_b", "gap", "ci95")
 
 
-@query("e11_bootstrap", """
-WITH r AS (SELECT event_type AS config_id, replica, value, ('0x' || substr(md5('7-' || replica || '-' || event_id), 1, 8))::BIGINT / 4294967296.0 AS d
+@query("e11_compare_refused", """
+WITH r AS (SELECT user_id, event_type, avg(value) AS s FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2)
+SELECT count(*) AS n, CASE WHEN count(*) > 0 THEN 'refused' END AS verdict FROM r a JOIN r b USING (user_id) WHERE a.event_type = 'click' AND b.event_type = 'view'""")
+def compare_refused(spark, sf):
+    def config(name, harness):
+        per_user = event_runs(spark, sf).filter(F.col("config_id") == name).groupBy("item_id").agg(F.avg("score").alias("score"))
+        return per_user.select("*", F.lit(harness).alias("harness"), *[F.lit("v1").alias(v) for v in evaluate.VERSIONS[1:]])
+    return evaluate.compare(config("click", "v1"), config("view", "v2")).select("n", "verdict")
+
+
+_COPIES = " + ".join(f"(d >= {limit})::INTEGER" for limit in evaluate.poisson_limits())
+
+
+@query("e11_bootstrap", f"""
+WITH r AS (SELECT event_type AS config_id, replica, value, ('0x' || substr(md5('7-' || replica || '-' || event_id), 1, 8))::BIGINT AS d
      FROM (SELECT *, unnest(range(1, 21)) AS replica FROM events)),
-     w AS (SELECT *, CASE WHEN d < 0.367879 THEN 0 WHEN d < 0.735759 THEN 1 WHEN d < 0.919699 THEN 2 WHEN d < 0.981012 THEN 3 ELSE 4 END AS w FROM r)
+     w AS (SELECT *, {_COPIES} AS w FROM r)
 SELECT config_id, CAST(replica AS INTEGER) AS replica, round(sum(value * w) / sum(w), 6) AS mean FROM w GROUP BY 1, 2""")
 def bootstrap(spark, sf):
     scores = event_runs(spark, sf).select("config_id", F.col("event_id").alias("item_id"), "score")
@@ -175,10 +189,12 @@ def bootstrap(spark, sf):
 
 
 @query("e12_frontier", """
-SELECT config_id, cost, accuracy FROM (SELECT p_partkey AS config_id, p_retailprice AS cost, p_size / 50 AS accuracy FROM part) a
-WHERE NOT EXISTS (SELECT 1 FROM part b WHERE (b.p_retailprice < cost AND b.p_size / 50 >= accuracy) OR (b.p_retailprice = cost AND b.p_size / 50 > accuracy))""")
+WITH p AS (SELECT p_partkey AS config_id, CASE WHEN p_partkey % 50 > 0 THEN p_retailprice END AS cost, p_size / 50 AS accuracy,
+  coalesce(CASE WHEN p_partkey % 50 > 0 THEN p_retailprice END, 'infinity'::DOUBLE) AS c FROM part)
+SELECT config_id, cost, accuracy FROM p a WHERE NOT EXISTS (SELECT 1 FROM p b WHERE (b.c < a.c AND b.accuracy >= a.accuracy) OR (b.c = a.c AND b.accuracy > a.accuracy))""")
 def frontier(spark, sf):
-    scores = table(spark, sf, "part").select(F.col("p_partkey").alias("config_id"), F.col("p_retailprice").alias("cost"), (F.col("p_size") / 50).alias("accuracy"))
+    scores = table(spark, sf, "part").select(F.col("p_partkey").alias("config_id"), F.when(F.col("p_partkey") % 50 > 0, F.col("p_retailprice")).alias("cost"),
+                                             (F.col("p_size") / 50).alias("accuracy"))
     return evaluate.frontier(scores)
 
 
@@ -278,10 +294,11 @@ def group_gap(spark, sf):
 
 
 @query("e21_preference_pairs", """
-SELECT a.l_orderkey AS prompt_id, a.l_partkey AS chosen, b.l_partkey AS rejected FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber""")
+WITH r AS (SELECT l_orderkey, l_partkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY floor(l_quantity / 10)) AS n FROM lineitem)
+SELECT a.l_orderkey AS prompt_id, a.l_partkey AS chosen, b.l_partkey AS rejected FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.n + 1 = b.n""")
 def preference_pairs(spark, sf):
     return evaluate.preference_pairs(table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("prompt_id"), F.col("l_partkey").alias("answer_id"), F.col("l_linenumber").alias("rank")))
+        F.col("l_orderkey").alias("prompt_id"), F.col("l_partkey").alias("answer_id"), F.floor(F.col("l_quantity") / 10).alias("rank")))
 
 
 _PERTURBED = f"""(SELECT item_id AS query_id, text AS base, unnest(['typo', 'case', 'spacing', 'digits']) AS kind, unnest([

@@ -129,7 +129,7 @@ def run_log(spark, sf):
 @query("s10_license_gate", """
 SELECT doc_id, source, license_line FROM (
   SELECT doc_id, source, regexp_extract(text, '(?im)^([^\\n]*licen[cs]e[^\\n]*)', 1) AS license_line FROM documents)
-WHERE license_line = '' OR """ + " OR ".join(f"contains(lower(license_line), '{a}')" for a in ALLOWED))
+WHERE license_line = '' OR """ + " OR ".join(f"regexp_matches(lower(license_line), '(^|[^a-z0-9]){a.lower()}($|[^a-z0-9])')" for a in ALLOWED))
 def license_gate(spark, sf):
     return readers.license_gate(table(spark, sf, "documents"), ALLOWED).select("doc_id", "source", "license_line")
 

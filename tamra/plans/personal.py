@@ -1,12 +1,14 @@
 """Queries over personal data.
 
-The tables hold no Thai ids and no Thai phone numbers, so every document gets a
-line with both; the check digit of the id is right for even document ids only.
+The tables hold no Thai ids and no Thai phone numbers, so every document gets a line with both,
+glued to Thai letters and one in Thai digits, and with a secret, a card and a name; the check digit
+of the id is right for even document ids only. DuckDB reads the border ``\\b`` as one of ASCII
+letters and knows no Thai digits, so its text has them translated (the texts hold no others).
 """
 
 from pyspark.sql import functions as F
 
-from tamra.functions.personal import KINDS, PATTERNS
+from tamra.functions.personal import KINDS, PATTERNS, THAI_DIGITS
 from tamra.functions.text import half_up
 from tamra.operators import pii
 from tamra.plans import sqltext as S
@@ -14,9 +16,13 @@ from tamra.plans.registry import query, table
 
 ID12_SQL = "lpad(CAST(100000000000 + doc_id * 7919 AS VARCHAR), 12, '0')"
 CHECK_SQL = "((11 - (" + " + ".join(f"CAST(substr(d, {i}, 1) AS INTEGER) * {14 - i}" for i in range(1, 13)) + ") % 11) % 10 + doc_id % 2) % 10"
-DOCS_SQL = f"""pdocs AS MATERIALIZED (SELECT doc_id, source, length(text) AS n_base, text || chr(10) || 'ID ' || d || CAST({CHECK_SQL} AS VARCHAR)
-   || ' tel 08' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || ' from ' || (doc_id % 300) || '.1.2.3' AS text
-  FROM (SELECT *, {ID12_SQL} AS d FROM documents))"""
+THAI_PHONE_SQL = "translate('08' || lpad(CAST(doc_id AS VARCHAR), 8, '0'), '0123456789', '๐๑๒๓๔๕๖๗๘๙')"
+DOCS_SQL = f"""pdocs AS MATERIALIZED (SELECT doc_id, source, n_base, translate(text, '๐๑๒๓๔๕๖๗๘๙', '0123456789') AS text
+  FROM (SELECT doc_id, source, length(text) AS n_base, text || chr(10) || 'ID ' || d || CAST({CHECK_SQL} AS VARCHAR)
+   || ' tel 08' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || ' from ' || (doc_id % 300) || '.1.2.3'
+   || chr(10) || 'เลข' || d || CAST({CHECK_SQL} AS VARCHAR) || 'ครับโทร' || {THAI_PHONE_SQL} || 'นะไอพี10.1.2.' || (doc_id % 300)
+   || 'ครับ API_KEY=abcd' || doc_id || 'efghij card 3782-822463-10005 by Dr. Somchai.' AS text
+  FROM (SELECT *, {ID12_SQL} AS d FROM documents)))"""
 
 
 def personal_documents(spark, sf):
@@ -28,6 +34,9 @@ def personal_documents(spark, sf):
     check = ((F.lit(11) - total % 11) % 10 + F.col("doc_id") % 2) % 10
     tail = F.concat(F.lit("\nID "), d, check.cast("string"), F.lit(" tel 08"), F.lpad(F.col("doc_id").cast("string"), 8, "0"),
                     F.lit(" from "), (F.col("doc_id") % 300).cast("string"), F.lit(".1.2.3"))
+    thai = F.translate(F.concat(F.lit("08"), F.lpad(F.col("doc_id").cast("string"), 8, "0")), "0123456789", THAI_DIGITS)
+    tail = F.concat(tail, F.lit("\nเลข"), d, check.cast("string"), F.lit("ครับโทร"), thai, F.lit("นะไอพี10.1.2."), (F.col("doc_id") % 300).cast("string"),
+                    F.lit("ครับ API_KEY=abcd"), F.col("doc_id").cast("string"), F.lit("efghij card 3782-822463-10005 by Dr. Somchai."))
     return docs.select("doc_id", "source", F.length("text").alias("n_base"), F.concat("text", tail).alias("text"))
 
 
@@ -59,7 +68,7 @@ def _detector(kind):
 
 
 for _name, _kind in (("r1_thai_id", "THAI_ID"), ("r2_phone", "PHONE"), ("r3_email", "EMAIL"), ("r4_card", "CARD"),
-                     ("r5_ip", "IP"), ("r6_secret", "SECRET")):
+                     ("r5_ip", "IP"), ("r6_secret", "SECRET"), ("r7_honorific", "NAME")):
     query(_name, _detect_sql(_kind))(_detector(_kind))
 
 
@@ -87,12 +96,15 @@ def pii_hits(spark, sf):
     return pii.pii_hits(personal_documents(spark, sf), salt="pepper")
 
 
+HONORIFIC_SQL = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+)"
+
+
 @query("r7_names", f"""
 WITH d AS (SELECT doc_id, 'Dr. ' || n_name || ' of ' || n_name || ' wrote. ' || text AS text FROM documents JOIN nation ON n_nationkey = doc_id % 25),
      t AS (SELECT doc_id, {S.tokens()} AS t FROM d)
-SELECT doc_id, unnest(regexp_extract_all(text, {S.quote(pii.HONORIFIC)}, 1)) AS name, 'honorific' AS how FROM d
+SELECT doc_id, unnest(regexp_extract_all(text, {S.quote(HONORIFIC_SQL)}, 1)) AS name, 'honorific' AS how FROM d
 UNION ALL
-SELECT doc_id, p, 'gazetteer' FROM (SELECT doc_id, unnest(list_concat({S.grams('t', 1)}, {S.grams('t', 2)})) AS p FROM t)
+SELECT doc_id, p, 'gazetteer' FROM (SELECT doc_id, unnest(list_concat({S.grams('t', 1)}, {S.grams('t', 2)}, {S.grams('t', 3)})) AS p FROM t)
 WHERE lower(p) IN (SELECT lower(n_name) FROM nation)""")
 def names(spark, sf):
     nation = table(spark, sf, "nation")

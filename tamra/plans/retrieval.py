@@ -138,7 +138,7 @@ def upsert_vectors(spark, sf):
     before = docs.filter(F.col("doc_id") % 10 != 1).withColumn(
         "text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" edited"))).otherwise(F.col("text")))
     old = index.embed(before, dims=16)
-    return index.upsert_vectors(docs, old, lambda rows: index.embed(rows, dims=16)).select("chunk_id", "content_sha", "fresh")
+    return index.upsert_vectors(docs, old, lambda rows: index.embed(rows, dims=16, frozen=before)).select("chunk_id", "content_sha", "fresh")
 
 
 @query("x4_postings", f"WITH {POST_SQL} SELECT term, chunk_id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS doc_len FROM post")
@@ -216,7 +216,7 @@ _HYBRID_SQL = f"""{BM25_SQL},
 def term_match_topk(spark, sf, k=20):
     """A second ranking of the same chunks: number of query words they hold."""
     terms = retrieve.query_terms(bench_queries(spark, sf))
-    hits = index.build_postings(chunks_of(spark, sf)).join(retrieve.small_side(terms), "term").groupBy("query_id", "chunk_id").agg(
+    hits = index.build_postings(chunks_of(spark, sf)).join(terms, "term").groupBy("query_id", "chunk_id").agg(
         F.count(F.lit(1)).alias("score"))
     return retrieve.top(hits, k)
 
@@ -243,8 +243,9 @@ def rerank(spark, sf):
 
 
 @query("q6_assemble", f"""WITH {BM25_SQL}, run AS (SELECT query_id, rank, c.*, sum(n_tokens) OVER (PARTITION BY query_id ORDER BY rank) AS total FROM lex JOIN chunks c USING (chunk_id))
-SELECT query_id, count(*) AS n_chunks, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
-  string_agg('[' || rank || '] ' || source || ':' || "start" || '-' || "end" || ' ' || text, chr(10) ORDER BY rank) AS context FROM run WHERE total <= 1500 GROUP BY 1""")
+SELECT query_id, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_tokens, 0) AS n_tokens, coalesce(context, '') AS context
+FROM (SELECT DISTINCT query_id FROM lex) LEFT JOIN (SELECT query_id, count(*) AS n_chunks, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+  string_agg('[' || rank || '] ' || source || ':' || "start" || '-' || "end" || ' ' || text, chr(10) ORDER BY rank) AS context FROM run WHERE total <= 1500 GROUP BY 1) USING (query_id)""")
 def assemble(spark, sf):
     return retrieve.assemble(lexical(spark, sf), chunks_of(spark, sf), 1500)
 

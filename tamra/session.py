@@ -38,11 +38,14 @@ def local_session(cores: int | str = 8, memory: str = "12g", **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a local test session) a temporary folder
-    is made, once per session, and recorded in the session settings.
+    Only in a local session without the setting (tests) a temporary folder is made, once per
+    session, and recorded in the session settings; a cluster must name its folder,
+    since executors don't see each other's disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tamra.scratch.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tamra-")
         spark.conf.set("tamra.scratch.dir", base)
     return base
@@ -60,13 +63,3 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A task per core for a scan with fewer file splits than cores.
-
-    Text work is bound by the processor. A corpus of many files is returned as it is; only a
-    small one, in a few files, is hashed over the cores by ``key`` (unique, so parts are even).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -100,8 +101,9 @@ def footer_columns(spark: SparkSession, folder: str, candidates: Sequence[str] =
         for batch in batches:
             rows = []
             for path in batch["path"]:
+                # a store that the footers' reader doesn't know is an error of the call, not of a file
+                store, inner = pafs.FileSystem.from_uri(path.replace("file:///", "file:/").replace("file:/", "file:///"))
                 try:
-                    store, inner = pafs.FileSystem.from_uri(path.replace("file:///", "file:/").replace("file:/", "file:///"))
                     schema = pq.read_schema(inner, filesystem=store)
                     chosen = next((c for c in names if c in schema.names), None)
                     kind = schema.field(chosen).type if chosen else None
@@ -162,10 +164,11 @@ def load_sources(spark: SparkSession, specs: Sequence[Mapping], text_field: str
 def license_gate(df: DataFrame, allow: Sequence[str]) -> DataFrame:
     """Keep documents without a licence line or with one that names an allowed licence.
 
-    ``allow`` is a short list of licence names; it is matched inside the licence line.
+    ``allow`` is a short list of licence names, matched as whole words of the licence line ("mit"
+    is not in "not permitted"). A text without a licence line is kept: nothing forbids it.
     """
     line = F.regexp_extract(F.col("text"), r"(?im)^([^\n]*licen[cs]e[^\n]*)", 1)
-    names = F.array(*[F.lit(name.lower()) for name in allow])
+    pattern = "(?i)(?<![A-Za-z0-9])(?:" + "|".join(re.escape(name) for name in allow) + ")(?![A-Za-z0-9])"
     marked = df.withColumn("license_line", line)
-    allowed = F.exists(names, lambda n: F.contains(F.lower(F.col("license_line")), n))
+    allowed = F.regexp_like("license_line", F.lit(pattern)) if allow else F.lit(False)
     return marked.filter((F.col("license_line") == "") | allowed)
