@@ -120,9 +120,12 @@ def fit(sample: pd.DataFrame) -> np.ndarray:
     once = np.unique(sentence.astype(np.int64) * len(kinds) + word_id)
     sentence, word_id = once // len(kinds), once % len(kinds)
     pairs = np.unique(word_id * len(y) + row[sentence])
-    seen = kinds[pairs // len(y)].astype(np.int64) * len(y) + (pairs % len(y))[:, None]
-    seen = np.unique(seen[seen >= 0])
-    docs = np.bincount(seen // len(y), minlength=size)
+    docs = np.zeros(size, np.int64)
+    for column in kinds.T:  # one kind of feature at a time bounds the driver's memory
+        feature = column[pairs // len(y)]
+        seen = np.unique(feature[feature >= 0].astype(np.int64) * len(y) + (pairs % len(y))[feature >= 0])
+        docs += np.bincount(seen // len(y), minlength=size)
+    del pairs, once
     allowed = docs >= LEAST_DOCS
     real = kinds >= 0
     flat, owner = kinds[real], np.nonzero(real)[0]
