@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamra.llm import bpe, jaccard, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
+from tamra.llm import bpe, infill, jaccard, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
 from tamra.llm.tables import table, tokenizer_path
 from tamra.plans.registry import Query, QueryFn
 from tamra.session import scratch
@@ -115,6 +115,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+OP11_SQL = """
+with t as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d from documents),
+u as (select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as units,
+             [cast('0x' || substr(d, 8 * i + 1, 8) as bigint) for i in [0, 1, 2, 3]] as h from t),
+c as (select *, len(units) as n, h[1] % (len(units) + 1) as x, h[2] % (len(units) + 1) as y,
+             case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90 then 'plain'
+                  when h[4] % 100 < 20 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(units[1:least(x, y)], '') as prefix, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') as middle,
+             array_to_string(units[greatest(x, y) + 1:], '') as suffix from c)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              else '<P>' || prefix || '<S>' || suffix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256 from p
+"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as prefix, suffix and middle, and the text that its output gives back."""
+    made = infill.transform(table(spark, sf_dir, "documents"))
+    back = infill.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline on all documents."""
