@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamra.llm import bpe, infill, jaccard, kdtree, mixing, packed, quality, sharding, spots, toxicity, urls
+from tamra.llm import bpe, infill, jaccard, kdtree, mixing, negatives, packed, quality, sharding, spots, toxicity, urls
 from tamra.llm.tables import table, tokenizer_path
 from tamra.plans.registry import Query, QueryFn
 from tamra.session import scratch
@@ -141,6 +141,29 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(back, 256).alias("restored_sha256"))
 
 
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+           where label is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_dot_product(a.e, c.e) as bigint) as score
+      from v a join v c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id and len(a.e) = len(c.e)),
+p as (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n from s where same),
+m as (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+             row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as r
+      from p join s on p.anchor_id = s.anchor_id and p.n <= 5 and not s.same
+                    and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select anchor_id, positive_id, cast(r as int) as rank, negative_id, positive_score, negative_score from m where r <= 3
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives below each of the five nearest positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline on all documents."""
