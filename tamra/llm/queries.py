@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamra.llm import bpe, infill, jaccard, kdtree, mixing, negatives, packed, quality, sharding, spots, toxicity, urls
+from tamra.llm import bpe, infill, jaccard, kdtree, minhash, mixing, negatives, packed, quality, sharding, spots, toxicity, urls
 from tamra.llm.tables import table, tokenizer_path
 from tamra.plans.registry import Query, QueryFn
 from tamra.session import scratch
@@ -141,6 +141,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(back, 256).alias("restored_sha256"))
 
 
+@query("op12_tensored_minhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles reach a Jaccard of 0.85, and which to keep."""
+    return minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 OP13_SQL = """
 with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
                   list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
