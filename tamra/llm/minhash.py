@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 from tamra.llm import meet
 from tamra.llm.order import stored
-from tamra.llm.sets import bitmaps, class_of, classes_of, linked, near_size, parity, sets, whole_sets
+from tamra.llm.sets import class_of, classes_of, linked, near_size, parity, parts, possible, sets, whole_sets
 from tamra.llm.words import mix
-from tamra.operators.dedup import components
 
 HALVES = 10  # hashes of a collection; their square is the number of tables
 ROWS = 2  # minimum hashes in each
@@ -89,30 +88,6 @@ def _profiles(docs: DataFrame, words: int, signer: Signer) -> DataFrame:
     return docs.mapInArrow(run, f"key {kind}, n int, class bigint, halves array<bigint>, bits binary")
 
 
-def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose bitmaps allow the similarity."""
-    both = pairs
-    for side in ("a", "b"):
-        both = both.join(classes.select(F.col("class").alias(side), F.col("n").cast("long").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            apart = np.bitwise_count(bitmaps(batch.column(4)) ^ bitmaps(batch.column(5))).sum(1, dtype=np.int64)
-            most = np.minimum((n + m - apart) // 2, np.minimum(n, m))
-            at = pa.array(np.flatnonzero(most * (100 + percent) >= percent * (n + m)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
-
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def _parts(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with ``part``, the component of their class."""
-    labels = components(links.select(F.col("a").alias("leader"), F.col("b").alias("member")))
-    rows = rows.join(labels.select(F.col("doc_id").alias("class"), "cluster_id"), "class", "left")
-    return rows.withColumn("part", F.coalesce("cluster_id", "class")).drop("cluster_id")
-
-
 def near_copies(docs: DataFrame, words: int = 5, percent: int = 85, halves: int = HALVES, rows: int = ROWS, seed: int = 1,
                 key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept): components of the verified links; one document of each is kept."""
@@ -127,11 +102,11 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 85, halves: int
     heads = keys.groupBy("half").agg(F.min(F.struct("class", "n")).alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = stored(keys.join(heads.select("half", F.col("head.class").alias("head"), F.col("head.n").alias("head_n")), "half"), "shared")
     stars = shared.where((F.col("head") < F.col("class")) & near_size("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("class").alias("b"))
-    stars = stored(_possible(stars.distinct(), classes, percent), "stars")
+    stars = stored(possible(stars.distinct(), classes, percent), "stars")
     links = linked(stars, whole_sets(classes_of(stars), docs, firsts, words), percent)
 
     # tables of hashes that different components share
-    split = stored(meet.over_parts(_parts(shared.select("half", "place", "class"), links), "half").drop("size"), "split")
+    split = stored(meet.over_parts(parts(shared.select("half", "place", "class"), links), "half").drop("size"), "split")
     mine = split.groupBy("class", "part").agg(F.collect_list(F.struct("place", "half")).alias("h"))  # 2 * halves at most
     of = lambda side: F.filter("h", lambda x: (x.place < halves) == F.lit(side))
     mine = mine.select("class", "part", F.explode(of(True)).alias("one"), of(False).alias("others"))
@@ -150,7 +125,7 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 85, halves: int
     pairs = stored(meet.pairs(tables, as_bytes, percent, first_shared).select("a", "b").distinct(), "candidates")
     links = links.unionByName(linked(pairs, whole_sets(classes_of(pairs), docs, firsts, words), percent))
 
-    groups = stored(_parts(firsts, links), "groups")
+    groups = stored(parts(firsts, links), "groups")
     smallest = groups.groupBy("part").agg(F.min("first").alias("component_id"))
     known = groups.join(smallest, "part").select("class", "component_id")
     found = profiles.select("key", "n", "class").join(known, "class", "left").withColumn("component_id", F.coalesce("component_id", "key"))

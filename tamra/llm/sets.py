@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tamra.llm.order import stored
 from tamra.llm.words import mix, shingles, slices, word_hashes
+from tamra.operators.dedup import components
 
 WANTED_BITS = 1 << 23  # of the bitmap of wanted ids
 PARITY_WORDS = 32  # 64-bit words of a set's parity bitmap
@@ -109,3 +110,27 @@ def linked(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint").distinct(), "links")
+
+
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose bitmaps allow the similarity."""
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(classes.select(F.col("class").alias(side), F.col("n").cast("long").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            apart = np.bitwise_count(bitmaps(batch.column(4)) ^ bitmaps(batch.column(5))).sum(1, dtype=np.int64)
+            most = np.minimum((n + m - apart) // 2, np.minimum(n, m))
+            at = pa.array(np.flatnonzero(most * (100 + percent) >= percent * (n + m)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def parts(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with ``part``, the component of their class."""
+    labels = components(links.select(F.col("a").alias("leader"), F.col("b").alias("member")))
+    rows = rows.join(labels.select(F.col("doc_id").alias("class"), "cluster_id"), "class", "left")
+    return rows.withColumn("part", F.coalesce("cluster_id", "class")).drop("cluster_id")

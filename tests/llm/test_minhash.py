@@ -63,3 +63,12 @@ def test_recall_is_as_stated():
         lost += not (same[:minhash.HALVES].any() and same[minhash.HALVES:].any())
     assert lost == 0 and minhash.missed(0.85) < 1e-5
     assert abs(met / each / (2 * minhash.HALVES) - (185 / 215) ** minhash.ROWS) < 0.01
+
+
+def test_both_joins_agree_on_a_family_with_few_first_level_members(spark):
+    """A family whose members rarely stand in each other's plain prefixes, by two methods and brute force."""
+    from tamra.llm import jaccard
+    docs = family(5, 220, 150, (2, 6)) + [(1_000 + i, t) for i, t in family(6, 60, 40, (0, 2))]
+    want = brute_components(docs, 85, 4)
+    for got in (found(spark, docs, words=4), jaccard.join(spark.createDataFrame(rows(docs), SCHEMA)).toPandas()):
+        assert dict(zip(got.doc_id, got.component_id)) == want
