@@ -12,8 +12,9 @@ every shard; the boxes decide how much of it is read.
 
 Cases: null vectors, and vectors with a null or non-finite component or without any, take no
 part as query or candidate, nor does a row without id; vectors of another length than the
-query's are no candidates; rows that share the query's id are its own; repeated ids each count;
-ties go to the smaller id; fewer candidates than k are all returned; an empty table gives no
+query's are no candidates; rows that share the query's id are its own; a query row that repeats
+asks once, and a repeated query id with other vectors asks once with each; repeated candidates each
+count; ties go to the smaller id; fewer candidates than k are all returned; an empty table gives no
 rows. Scores are exact: vectors so large that doubles could round are multiplied as Python integers.
 """
 
@@ -73,7 +74,7 @@ def build(points: np.ndarray, ids: np.ndarray) -> Tree:
 
 
 def search(tree: Tree, queries: np.ndarray, query_ids: np.ndarray, kth: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, id, score) of at most k candidates a query; only scores of ``kth`` or more."""
+    """(number of the query, id, score) of at most k candidates a query; only scores of ``kth`` or more."""
     found = []
     for block in range(0, len(queries), BOUND_BLOCK):
         q = queries[block:block + BOUND_BLOCK]
@@ -103,7 +104,7 @@ def search(tree: Tree, queries: np.ndarray, query_ids: np.ndarray, kth: np.ndarr
                         heapq.heappushpop(best, entry)
                     if len(best) == k:
                         least = max(least, best[0][0])
-            found += [(own, -i, int(s)) for s, i in best]
+            found += [(block + i, -other, int(s)) for s, other in best]
     return found
 
 
@@ -131,33 +132,34 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     shards, groups = max(1, -(-counts[0] // SHARD_ROWS)), max(1, -(-counts[1] // QUERY_ROWS))
     rows = rows.withColumn("shard", F.pmod(F.col("h"), F.lit(shards)).cast("int"))
     # the high bits deal queries to blocks, so blocks and shards are independent
-    queries = rows.where("q").select("id", "v", "dim", "shard", F.pmod(F.shiftrightunsigned("h", 32), F.lit(groups)).cast("int").alias("block"))
+    queries = rows.where("q").dropDuplicates(["id", "v"]).select(F.xxhash64("id", "v").alias("ask"), "id", "v", "dim", "shard", F.pmod(F.shiftrightunsigned("h", 32), F.lit(groups)).cast("int").alias("block"))
     queries = queries.toDF(*queries.columns)
-    columns = "query_id bigint, id bigint, score bigint"
+    columns = "ask bigint, query_id bigint, id bigint, score bigint"
 
     def within(_key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({"ask": [], "query_id": [], "id": [], "score": []}, dtype="int64")
         left, right = left.sort_values("id", kind="stable"), right.sort_values("id", kind="stable")
         points, asked = _matrix(left), _matrix(right)
         if object in (points.dtype, asked.dtype):
             points, asked = (np.array([[int(x) for x in r] for r in m.tolist()], object) for m in (points, asked))
         kth = right["kth"].to_numpy() if "kth" in right else np.full(len(right), -np.inf)
         found = search(build(points, left["id"].to_numpy()), asked, right["id"].to_numpy(), kth, k)
-        return pd.DataFrame(found, columns=["query_id", "id", "score"], dtype="int64")
+        ask, own = right["ask"].to_numpy(), right["id"].to_numpy()
+        return pd.DataFrame([(ask[i], own[i], j, s) for i, j, s in found], columns=["ask", "query_id", "id", "score"], dtype="int64")
 
     keys = ["dim", "shard", "block"]
     all_blocks = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     candidates = rows.select("id", "v", "dim", "shard", all_blocks.alias("block"))
     home = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(within, columns)
     home = stored(home, "home-hits")
-    kth = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    kth = kth.select(F.col("query_id").alias("id"), F.when(F.col("n") >= k, F.col("least").cast("double")).alias("kth"))
-    asked = queries.dropDuplicates(["id", "shard", "v"]).join(kth, "id", "left").fillna(float("-inf"), ["kth"])
+    kth = home.groupBy("ask").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    kth = kth.select("ask", F.when(F.col("n") >= k, F.col("least").cast("double")).alias("kth"))
+    asked = queries.join(kth, "ask", "left").fillna(float("-inf"), ["kth"])
     elsewhere = asked.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("to <> shard")
-    elsewhere = elsewhere.select("id", "v", "dim", F.col("to").alias("shard"), "block", "kth")
+    elsewhere = elsewhere.select("ask", "id", "v", "dim", F.col("to").alias("shard"), "block", "kth")
     elsewhere = elsewhere.toDF(*elsewhere.columns)  # names of their own, apart from the candidates'
     away = candidates.groupBy(*keys).cogroup(elsewhere.groupBy(*keys)).applyInPandas(within, columns)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    ranked = Window.partitionBy("ask").orderBy(F.desc("score"), "id")
     hits = home.unionByName(away).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return hits.select("query_id", "rank", F.col("id").alias(key), "score")

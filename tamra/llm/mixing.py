@@ -1,11 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-A slot is a place for one block of ``block_words`` words. Slot t asks the van der Corput point
-of t (its bits reversed behind the binary point) for a source: the sources' targets, laid end
-to end, cut the unit interval, so any run of slots follows the targets closely. The slots of a
-source are ranked; rank r takes the source's block ``r mod blocks`` in its pass ``r div blocks``.
-Blocks cut the source's documents, in a keyed hash order, into equal numbers of words, so a
-document may lie in several and one block may hold several.
+A slot is a place for one block of a source. Each source's words are cut into blocks of equal
+size, ``block_words`` at most, and its target asks for so many of them, rounded: a source is off
+its target by half a block of its own, however small it is. The sources' slots, laid end to end,
+cut the first of 2 ** k points; slot t asks the van der Corput point of t (its k bits reversed)
+for a source, so any run of slots follows the targets closely and every source gets exactly its
+number of slots. The slots of a source are ranked; rank r takes the source's block ``r mod
+blocks`` in its pass ``r div blocks``. Blocks cut the source's documents in a keyed hash order,
+so a document may lie in several and one block may hold several.
 
 Targets share ``share`` times all words by weight; none may pass ``cap`` times its source's
 words, and what lies above is shared again by weight. Passes beyond ``cap`` stay empty, so no
@@ -26,14 +28,14 @@ from pyspark.sql import functions as F
 from tamra.llm.order import running, stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-POINT_BITS = 52
-CELLS = 1024  # of the unit interval, to meet points and sources by equality
+CELL_POINTS = 64  # least points of a cell, in which points and sources meet by equality
+MOST_CELLS = 65_536
 
 
 @dataclass(frozen=True)
 class Mix:
     rows: DataFrame  # _row, key, source, size, hash
-    sources: DataFrame  # source, no, source_size, target, words, base, blocks
+    sources: DataFrame  # source, no, source_size, target, slots, base, blocks
     taken: DataFrame  # slot, no, rank, pass, block, _row, key, first_word, n_words
 
 
@@ -66,9 +68,9 @@ def targets(sources: DataFrame, weights: list[float], share: float, cap: float)
     return sources.withColumn("target", F.least(cap * size, F.col("_weight") * level)).drop("_weight")
 
 
-def _point(slot: Column) -> Column:
-    bits = F.lpad(F.bin(slot), POINT_BITS, "0")
-    return F.conv(F.reverse(bits), 2, 10).cast("double") / float(1 << POINT_BITS)
+def _slot(point: Column, bits: int) -> Column:
+    """The slot whose point this is: its bits reversed."""
+    return F.conv(F.reverse(F.lpad(F.bin(point), bits, "0")), 2, 10).cast("long")
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, cap: int = 2, block_words: int = 128, seed: int = 1,
@@ -80,33 +82,33 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, cap: int = 2,
     found = rows.groupBy("_none", "_name").agg(F.sum("size").alias("source_size"), F.max("source").alias("source"))
     found = running(found, ["_none", "_name"], "source_size").withColumnRenamed("row_number", "no").withColumnRenamed("before", "base")
     sources = targets(stored(found, "mix-sources"), weights, share, cap)
-    sources = (running(sources.withColumn("words", F.round("target").cast("long")), ["no"], "words").drop("row_number")
-               .withColumnRenamed("before", "from").withColumn("blocks", F.ceil(F.col("source_size") / block_words)))
-    sources = stored(sources, "mix-targets")
-    total = sources.agg(F.sum("words")).first()[0] or 0
-
-    # slots, their points, and the source whose part of [0, total) holds the point
-    slots = spark.range(-(-total // block_words)).select(F.col("id").alias("slot"), (_point(F.col("id")) * float(total)).alias("point"))
-    width = max(total, 1) / CELLS
-    slots = slots.withColumn("cell", F.floor(F.col("point") / width))
-    parts = sources.where("words > 0").select(
-        "no", "blocks", F.col("from").alias("lo"), (F.col("from") + F.col("words")).alias("hi"),
-        F.explode(F.sequence(F.floor(F.col("from") / width), F.floor((F.col("from") + F.col("words")) / width))).alias("cell"))
-    slots = slots.join(parts, "cell").where("point >= lo and point < hi").select("slot", "no", "blocks")
-    slots = stored(running(slots, ["no", "slot"]), "mix-slots")
-    first = slots.groupBy("no").agg(F.min("row_number").alias("_first"))
-    slots = (slots.join(first, "no").withColumn("rank", F.col("row_number") - F.col("_first"))
-             .withColumn("pass", F.call_function("div", F.col("rank"), F.col("blocks"))).where(F.col("pass") < cap)
-             .select("slot", "no", "rank", "pass", (F.col("rank") % F.col("blocks")).alias("block")))
-
-    # documents as spans of their source's blocks
-    at = F.col("before") - F.col("base")
-    spans = (rows.where("size > 0").join(sources.select("_none", "_name", "no", "base"), ["_none", "_name"])
-             .select("_row", "key", "no", "size", at.alias("at"))
-             .withColumn("block", F.explode(F.sequence(F.call_function("div", F.col("at"), F.lit(block_words)),
-                                                       F.call_function("div", F.col("at") + F.col("size") - 1, F.lit(block_words))))))
-    begin = F.greatest(F.col("at"), F.col("block") * block_words)
-    end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
+    div = lambda a, b: F.call_function("div", a, b)
+    sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block_words))
+    wanted = F.coalesce(F.round(F.col("target") * F.col("blocks") / F.col("source_size")), F.lit(0)).cast("long")
+    sources = sources.withColumn("slots", F.least(wanted, F.col("blocks") * cap))
+    sources = running(sources, ["no"], "slots").drop("row_number").withColumnRenamed("before", "from")
+    sources = stored(sources.withColumn("short", div(F.col("source_size"), F.col("blocks"))).withColumn("longer", F.col("source_size") % F.col("blocks")), "mix-targets")
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+
+    # points, the source whose part of [0, total) holds each, and the slot that asks for it
+    width = max(CELL_POINTS, -(-total // MOST_CELLS))
+    points = spark.range(total).withColumnRenamed("id", "point").withColumn("cell", div(F.col("point"), F.lit(width)))
+    cells = F.sequence(div(F.col("from"), F.lit(width)), div(F.col("from") + F.col("slots") - 1, F.lit(width)))
+    held = sources.where("slots > 0").select("no", "blocks", F.col("from").alias("lo"), (F.col("from") + F.col("slots")).alias("hi"), F.explode(cells).alias("cell"))
+    slots = points.join(held, "cell").where("point >= lo and point < hi").select(_slot(F.col("point"), max(1, (total - 1).bit_length())).alias("slot"), "no", "blocks", "lo")
+    # slots are numbered source after source, so a source's first number is where its part begins
+    slots = stored(running(slots, ["no", "slot"]).withColumn("rank", F.col("row_number") - F.col("lo")), "mix-slots")
+    slots = slots.select("slot", "no", "rank", div(F.col("rank"), F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"))
+
+    # documents as spans of their source's blocks; the first ``longer`` blocks hold a word more than the others
+    at, short, longer = F.col("before") - F.col("base"), F.col("short"), F.col("longer")
+    block_of = lambda x: F.when(x < longer * (short + 1), div(x, short + 1)).otherwise(longer + div(x - longer * (short + 1), short))
+    start = lambda k: k * short + F.least(k, longer)
+    spans = (rows.where("size > 0").join(sources.select("_none", "_name", "no", "base", "short", "longer"), ["_none", "_name"])
+             .select("_row", "key", "no", "size", "short", "longer", at.alias("at")))
+    spans = spans.withColumn("block", F.explode(F.sequence(block_of(F.col("at")), block_of(F.col("at") + F.col("size") - 1))))
+    begin = F.greatest(F.col("at"), start(F.col("block")))
+    end = F.least(F.col("at") + F.col("size"), start(F.col("block") + 1))
     spans = spans.select("_row", "key", "no", "block", (begin - F.col("at")).alias("first_word"), (end - begin).alias("n_words"))
     return Mix(rows, sources, slots.join(spans, ["no", "block"]))
 
@@ -125,8 +127,9 @@ def repeated(docs: DataFrame, mixed: Mix, seed: int = 1, key: str = "doc_id", te
     ``seed`` is that of the mix. Equal rows are repeated alike, as often as the one taken most.
     """
     passes = mixed.taken.groupBy("_row", "pass").agg(F.sum("n_words").alias("n"))
-    copies = (mixed.rows.join(passes, "_row").where("2 * n >= size").groupBy("_row", "hash").agg(F.count(F.lit(1)).alias("copies"))
-              .groupBy(F.col("hash").alias("_hash")).agg(F.max("copies").alias("_copies")))
-    taken = docs.withColumn("_hash", _hash(key, text, seed)).join(copies, "_hash")
-    taken = taken.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return taken.select(*docs.columns)
+    copies = mixed.rows.join(passes, "_row").where("2 * n >= size").groupBy("_row", "key", "hash").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.groupBy(F.col("key").alias("_mix_key"), F.col("hash").alias("_mix_hash")).agg(F.max("copies").alias("_mix_copies"))
+    taken = docs.withColumn("_mix_hash", _hash(key, text, seed))
+    taken = taken.join(copies, (taken["_mix_hash"] == copies["_mix_hash"]) & taken[key].eqNullSafe(copies["_mix_key"]))
+    taken = taken.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
+    return taken.select(*(taken[c] for c in docs.columns))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamra.llm.samples import held_out, labelled
-from tamra.llm.words import slices, word_hashes, word_starts
+from tamra.llm.words import _SPACE, SLICE_BYTES, cuts, slices, word_hashes, word_starts
 
 STEPS = 200
 PENALTY = 1e-3
@@ -37,7 +37,10 @@ _CLASS["mark"][[ord(c) for c in ".,;:'\"-()?"]] = True
 _CLASS["end"][[ord(c) for c in ".?:"]] = True
 _CLASS["odd"][33:127] = True
 _CLASS["odd"] &= ~(_CLASS["letter"] | _CLASS["digit"] | _CLASS["mark"])
+_LINE_END = np.zeros(256, bool)
+_LINE_END[0x0A] = True
 N_LINE = 12
+LINES_AT_ONCE = 65_536
 
 
 @dataclass
@@ -110,6 +113,19 @@ def lines(raw: np.ndarray, offsets: np.ndarray) -> Lines:
     return Lines(features, row, size, number)
 
 
+def text_lines(raw: np.ndarray, offsets: np.ndarray) -> Lines:
+    """``lines``, a long text being read in pieces that begin with the first word of a line."""
+    if len(offsets) != 2 or len(raw) <= 2 * SLICE_BYTES:
+        return lines(raw, offsets)
+    ends = cuts(raw, _LINE_END, ~_SPACE)
+    parts = [lines(raw[a:b], np.array([0, b - a])) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    before = np.cumsum([0] + [int((raw[a:b] == 0x0A).sum()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
+    found = Lines(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("features", "row", "length")),
+                  np.concatenate([p.number + at for p, at in zip(parts, before.tolist())]))
+    kept = found.length > 0
+    return Lines(found.features[kept], found.row[kept], found.length[kept], found.number[kept]) if kept.any() else lines(raw[:0], np.array([0, 0]))
+
+
 def neighbours(x: np.ndarray, row: np.ndarray) -> np.ndarray:
     """Each line's features with those of the line before and after it; zeros beyond the text."""
     same = row[1:] == row[:-1]
@@ -147,14 +163,21 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(z / 2))
 
 
-def _design(model: Model, found: Lines) -> np.ndarray:
-    x = np.clip((found.features - model.mean) / model.spread, -CLIP, CLIP)
-    return neighbours(x, found.row)
+def _scaled(model: Model, found: Lines) -> np.ndarray:
+    return np.clip((found.features - model.mean) / model.spread, -CLIP, CLIP)
 
 
 def marginals(model: Model, found: Lines) -> np.ndarray:
     """Probability that each line is good."""
-    ahead, behind = Chain(found.row).run(_design(model, found) @ model.weights, *model.stay)
+    x = _scaled(model, found)
+    if len(x) <= LINES_AT_ONCE:
+        u = neighbours(x, found.row) @ model.weights
+    else:  # some lines at a time, each with the one before and after it
+        u = np.empty(len(x))
+        for a in range(0, len(x), LINES_AT_ONCE):
+            lo, hi = max(a - 1, 0), min(a + LINES_AT_ONCE + 1, len(x))
+            u[a:a + LINES_AT_ONCE] = (neighbours(x[lo:hi], found.row[lo:hi]) @ model.weights)[a - lo:a - lo + LINES_AT_ONCE]
+    ahead, behind = Chain(found.row).run(u, *model.stay)
     return _logistic(ahead + behind)
 
 
@@ -170,7 +193,7 @@ def fit(sample: pd.DataFrame) -> Model:
         parts.append(Lines(part.features, part.row + start, part.length, part.number))
     found = Lines(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("features", "row", "length", "number")))
     model.mean, model.spread = found.features.mean(0), found.features.std(0) + 1e-6
-    x, chain, label = _design(model, found), Chain(found.row), y[found.row].astype(float)
+    x, chain, label = neighbours(_scaled(model, found), found.row), Chain(found.row), y[found.row].astype(float)
     lines_in = np.bincount(found.row, minlength=len(y))
     share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     share = (share / np.maximum(lines_in, 1))[found.row]
@@ -194,7 +217,7 @@ def fit(sample: pd.DataFrame) -> Model:
 
 def _values(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Scores of a run of texts."""
-    found, n = lines(raw, offsets), len(offsets) - 1
+    found, n = text_lines(raw, offsets), len(offsets) - 1
     weight = found.length + 1.0
     value = np.bincount(found.row, marginals(model, found) * weight, n) / np.bincount(found.row, weight, n)
     return np.clip(value, 0, 1)
@@ -214,16 +237,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def keep(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text scores ``least`` or more."""
-    column = docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [_values(model, raw, offsets) for _, raw, offsets in slices(batch.column(column))]
-            if values:
-                yield batch.filter(pa.array(np.concatenate(values) >= least))
+    """The rows, all columns as they are, whose text scores ``least`` or more; only texts leave the JVM."""
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        found = np.ones(len(texts), bool)
+        for first, raw, offsets in slices(texts):
+            found[first:first + len(offsets) - 1] = _values(model, raw, offsets) >= least
+        return pa.array(found)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(good(F.col(text)))
 
 
 def line_labels(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -233,7 +255,7 @@ def line_labels(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, raw, offsets in slices(batch.column(1)):
-                found = lines(raw, offsets)
+                found = text_lines(raw, offsets)
                 keys = batch.column(0).slice(first).take(pa.array(found.row))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(found.number), pa.array(found.length), pa.array(marginals(model, found))],
                                                  names=[key, "line", "n_bytes", "good"])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamra.llm.samples import held_out, labelled
-from tamra.llm.words import _BASE, _INVERSE, _power, mix, slices
+from tamra.llm.words import SLICE_BYTES, _BASE, _INVERSE, _power, cuts, mix, slices
 
 BITS = 18
 PREFIXES = range(3, 9)
@@ -36,6 +36,7 @@ _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = _LETTER[ord("A"):ord("Z") + 1] = _LETTER[128:] = True
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?\n"]] = True
+_ANY = np.ones(256, bool)
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 _CODE[ord("A"):ord("Z") + 1] = _CODE[ord("a"):ord("z") + 1]
 
@@ -105,27 +106,30 @@ def fit(sample: pd.DataFrame) -> np.ndarray:
     y = sample["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return weights
-    parts, rows, at = [], [], 0
+    # equal words share their features: weights are summed once for each distinct word
+    kinds, names, pairs, rows, at, seen = [], [], [], [], 0, 0
     for start, raw, offsets in slices(pa.array(sample["text"], pa.large_string())):
         s = sentences(raw, offsets)
-        parts.append((s.features, s.word, s.word_sentence + at))
+        name, first, word_id = np.unique(s.word, return_index=True, return_inverse=True)
+        once = np.unique(s.word_sentence.astype(np.int64) * max(len(name), 1) + word_id)
+        kinds.append(s.features[first])
+        names.append(name)
+        pairs.append(np.stack([once // max(len(name), 1) + at, once % max(len(name), 1) + seen]))
         rows.append(s.row + start)
         at += len(s.starts)
-    features, words, sentence = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    row = np.concatenate(rows)
-    # equal words share their features: weights are summed once for each distinct word
-    _, word, word_id = np.unique(words, return_index=True, return_inverse=True)
-    kinds = features[word]
-    del features, words, parts
-    once = np.unique(sentence.astype(np.int64) * len(kinds) + word_id)
-    sentence, word_id = once // len(kinds), once % len(kinds)
+        seen += len(name)
+    _, first, merged = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    kinds = np.concatenate(kinds)[first]
+    sentence, word_id = np.concatenate(pairs, axis=1)
+    word_id, row = merged[word_id], np.concatenate(rows)
+    del names, pairs
     pairs = np.unique(word_id * len(y) + row[sentence])
     docs = np.zeros(size, np.int64)
     for column in kinds.T:  # one kind of feature at a time bounds the driver's memory
         feature = column[pairs // len(y)]
         seen = np.unique(feature[feature >= 0].astype(np.int64) * len(y) + (pairs % len(y))[feature >= 0])
         docs += np.bincount(seen // len(y), minlength=size)
-    del pairs, once
+    del pairs
     allowed = docs >= LEAST_DOCS
     real = kinds >= 0
     flat, owner = kinds[real], np.nonzero(real)[0]
@@ -146,10 +150,19 @@ def fit(sample: pd.DataFrame) -> np.ndarray:
     return weights.astype(np.float32)
 
 
-def _values(weights: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Scores of a run of texts."""
+def _doubts(weights: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """-log(1 - P) of a run of texts: sums over their sentences."""
     s = sentences(raw, offsets)
-    return -np.expm1(-np.bincount(s.row, np.logaddexp(0, _logits(s, weights)), len(offsets) - 1))
+    return np.bincount(s.row, np.logaddexp(0, _logits(s, weights)), len(offsets) - 1)
+
+
+def _values(weights: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Scores of a run of texts; a long one is read in pieces that end where a sentence does."""
+    if len(offsets) != 2 or len(raw) <= 2 * SLICE_BYTES:
+        return -np.expm1(-_doubts(weights, raw, offsets))
+    ends = cuts(raw, _END, _ANY)
+    doubt = sum(_doubts(weights, raw[a:b], np.array([0, b - a])) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
+    return -np.expm1(-doubt)
 
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,17 +180,17 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
 
 
 def keep(docs: DataFrame, weights: np.ndarray, below: float = 0.7, text: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text scores less than ``below``."""
-    column = docs.columns.index(text)
+    """The rows, all columns as they are, whose text scores less than ``below``; only texts leave the JVM."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [_values(sent.value, raw, offsets) for _, raw, offsets in slices(batch.column(column))]
-            if values:
-                yield batch.filter(pa.array(np.concatenate(values) < below))
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        found = np.ones(len(texts), bool)
+        for first, raw, offsets in slices(texts):
+            found[first:first + len(offsets) - 1] = _values(sent.value, raw, offsets) < below
+        return pa.array(found)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(clean(F.col(text)))
 
 
 def offending(docs: DataFrame, weights: np.ndarray, least: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:

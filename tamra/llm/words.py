@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # texts handled at once; a longer text is handled alone
+SLICE_BYTES = 1 << 20  # texts handled at once; a longer text is handled alone
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -61,6 +61,23 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
+def cuts(raw: np.ndarray, after: np.ndarray, before: np.ndarray, most: int = SLICE_BYTES) -> np.ndarray:
+    """Offsets that cut a text into pieces of about ``most`` bytes.
+
+    Cuts lie behind a byte of the table ``after`` and ahead of one of ``before``; where a text
+    holds no such place its piece is longer.
+    """
+    found, at = [0], most
+    while at < len(raw):
+        stop = min(at + most, len(raw))
+        free = np.flatnonzero(after[raw[at - 1:stop - 1]] & before[raw[at:stop]])
+        if len(free):
+            at += int(free[0])
+            found.append(at)
+        at += most
+    return np.array([*found, len(raw)], np.int64)
+
+
 def word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start byte of every word, and how many words lie before each row's offset."""
     space = _SPACE[raw]
@@ -72,8 +89,7 @@ def word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, and how many words lie before each row's offset."""
+def _hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, before = word_starts(raw, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), before
@@ -81,6 +97,18 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return mix(sums * _power(_INVERSE, len(raw))[starts]), before
 
 
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, and how many words lie before each row's offset.
+
+    A long text is read in pieces that begin with a word; a word's hash does not hang on its place.
+    """
+    if len(offsets) != 2 or len(raw) <= 2 * SLICE_BYTES:
+        return _hashes(raw, offsets)
+    ends = cuts(raw, _SPACE, ~_SPACE).tolist()
+    found = np.concatenate([_hashes(raw[a:b], np.array([0, b - a]))[0] for a, b in zip(ends[:-1], ends[1:])])
+    return found, np.array([0, len(found)])
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct hashes of the n-word shingles of one text; fewer words make one shingle."""
     if not len(words):
