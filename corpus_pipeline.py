@@ -9,8 +9,7 @@ stages give a document as often as the mix takes it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tamra.llm import bpe, jaccard, mixing, quality, toxicity
 from tamra.llm.order import stored
@@ -39,12 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: that of the smallest id, once."""
-    judged = jaccard.join(docs)
-    others = judged.where("component_id <> doc_id").select(F.col("doc_id")).distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    same = Window.partitionBy("doc_id", F.crc32("text"), F.octet_length("text")).orderBy(F.lit(1))
-    kept = kept.withColumn("_copy", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(same)))
-    return kept.where("_copy = 1").select(*docs.columns)
+    return jaccard.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
