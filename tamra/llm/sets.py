@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tamra.llm.order import stored
 from tamra.llm.words import mix, shingles, slices, word_hashes
-from tamra.operators.dedup import components
 
 WANTED_BITS = 1 << 23  # of the bitmap of wanted ids
 PARITY_WORDS = 32  # 64-bit words of a set's parity bitmap
@@ -129,8 +128,33 @@ def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def components(links: DataFrame) -> DataFrame:
+    """(class, part): the smallest class that ``links`` (a, b) reach from each of their classes.
+
+    Every round each class takes the smallest of its neighbours for its root, and the links move
+    on to the roots: links inside a root are gone, equal ones fold, so the rounds shrink. Classes
+    are hashes, so chains in their order are short; a star of any size around its smallest class
+    takes one round.
+    """
+    links = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = None
+    while True:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = stored(both.groupBy(F.col("a").alias("class")).agg(F.least(F.col("class"), F.min("b")).alias("root")), "roots")
+        if labels is None:
+            labels = roots.select("class", F.col("root").alias("part"))
+        else:
+            moved = roots.select(F.col("class").alias("part"), "root")
+            labels = labels.join(moved, "part", "left").select("class", F.coalesce("root", "part").alias("part"))
+        labels = stored(labels, "labels")
+        for side in ("a", "b"):
+            links = links.join(roots.select(F.col("class").alias(side), F.col("root").alias(f"{side}_root")), side)
+        links = links.where("a_root <> b_root").select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).distinct()
+        links = stored(links, "edges")
+        if links.isEmpty():
+            return labels
+
+
 def parts(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` with ``part``, the component of their class."""
-    labels = components(links.select(F.col("a").alias("leader"), F.col("b").alias("member")))
-    rows = rows.join(labels.select(F.col("doc_id").alias("class"), "cluster_id"), "class", "left")
-    return rows.withColumn("part", F.coalesce("cluster_id", "class")).drop("cluster_id")
+    return rows.join(components(links), "class", "left").withColumn("part", F.coalesce("part", "class"))
