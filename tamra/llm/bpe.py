@@ -25,10 +25,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tamra.llm.order import bounded
 from tamra.llm.pretokens import pretokens
 
-BLOCK_CHARS = 12_000_000  # texts whose new words share one index
-CACHED_WORDS = 300_000  # words whose ids a Python worker keeps
+BLOCK_CHARS = 4_000_000  # texts whose new words share one index
+CACHED_WORDS = 100_000  # words whose ids a Python worker keeps
 
 
 @cache
@@ -191,13 +192,13 @@ def _encoder(path: str) -> Encoder:
 def blocks(batches: Iterable[pa.RecordBatch], chars: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches of (id, text) in parts of about ``chars`` characters, null texts as empty ones."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        first = held = 0
-        for i, text in enumerate(texts):
-            held += len(text)
-            if held >= chars or i == len(texts) - 1:
-                yield batch.slice(first, i + 1 - first), texts[first:i + 1]
-                first, held = i + 1, 0
+        texts, first, held = [], 0, 0
+        for i, value in enumerate(batch.column(1)):
+            texts.append(value.as_py() or "")
+            held += len(texts[-1])
+            if held >= chars or i == batch.num_rows - 1:
+                yield batch.slice(first, i + 1 - first), texts
+                texts, first, held = [], i + 1, 0
 
 
 def encode_text(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,6 +217,7 @@ def encode_text(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and decode every text in one pass; return counts and digests instead of the ids."""
     kind = docs.schema[key].dataType.simpleString()
+    bounded(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)

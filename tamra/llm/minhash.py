@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamra.llm import meet
-from tamra.llm.order import stored
+from tamra.llm.order import bounded, stored
 from tamra.llm.sets import class_of, classes_of, linked, near_size, parity, parts, possible, sets, whole_sets
 from tamra.llm.words import mix
 
@@ -92,6 +92,7 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 85, halves: int
                 key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept): components of the verified links; one document of each is kept."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col(key).isNotNull())
+    bounded(docs.sparkSession)
     profiles = stored(_profiles(docs, words, Signer(halves, rows, seed)), "profiles")
     classes = stored(profiles.where("class is not null").groupBy("class").agg(
         F.min("key").alias("first"), *(F.first(c).alias(c) for c in ("n", "halves", "bits"))), "classes")

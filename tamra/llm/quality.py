@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamra.llm.order import bounded
 from tamra.llm.samples import held_out, labelled
 from tamra.llm.words import _SPACE, SLICE_BYTES, cuts, slices, word_hashes, word_starts
 
@@ -233,11 +234,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 value, n = _values(model, raw, offsets), len(offsets) - 1
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(value)], names=[key, "score"])
 
+    bounded(docs.sparkSession)
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
 
 
 def keep(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows, all columns as they are, whose text scores ``least`` or more; only texts leave the JVM."""
+    bounded(docs.sparkSession)
+
     @F.arrow_udf("boolean")
     def good(texts: pa.Array) -> pa.Array:
         found = np.ones(len(texts), bool)

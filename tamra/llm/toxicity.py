@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamra.llm.order import bounded
 from tamra.llm.samples import held_out, labelled
 from tamra.llm.words import SLICE_BYTES, _BASE, _INVERSE, _power, cuts, mix, slices
 
@@ -176,6 +177,7 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
                 value = _values(sent.value, raw, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(value)), pa.array(value)], names=[key, "score"])
 
+    bounded(docs.sparkSession)
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
 
 
@@ -183,6 +185,8 @@ def keep(docs: DataFrame, weights: np.ndarray, below: float = 0.7, text: str = "
     """The rows, all columns as they are, whose text scores less than ``below``; only texts leave the JVM."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
+    bounded(docs.sparkSession)
+
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
         found = np.ones(len(texts), bool)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # texts handled at once; a longer text is handled alone
+SLICE_BYTES = 1 << 18  # texts handled at once; a longer text is handled alone
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
