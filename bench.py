@@ -22,7 +22,7 @@ HEADLINE = (
 
 
 # The fixture's text tables are one file of one row group each, which only one task can read; a corpus
-# on a cluster is many files. They are dealt over this many files before the clock starts.
+# on a cluster is many files. They are dealt over this many files first; the time of that counts.
 TEXT_TABLES, FILES = ("documents", "pages"), 16
 
 
@@ -51,10 +51,12 @@ def main() -> int:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else (chosen.split(",") if chosen else HEADLINE)
+    start = time.time()
     data = dealt(sf_dir)
+    dealing = round(time.time() - start, 3)
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     spark.range(1000).selectExpr("sum(id)").collect()  # start the executor threads
-    seconds, failed = {}, {}
+    seconds, failed = {"deal_files": dealing}, {}
     for name in names:
         start = time.time()
         try:

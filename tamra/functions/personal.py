@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ PATTERNS = {
     "THAI_ID": r"\b\d-\d{4}-\d{5}-\d{2}-\d\b|\b\d{13}\b",
     "CARD": r"\b\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}\b|\b\d{4}[ \-]\d{6}[ \-]\d{5}\b|\b\d{13,19}\b",
     "PHONE": r"\+66[ \-]?\d{1,2}[ \-]?\d{3,4}[ \-]?\d{4}\b|\b0\d{1,2}[ \-]?\d{3,4}[ \-]?\d{4}\b|\+1 \(\d{3}\) \d{3}-\d{4}\b",
-    "NAME": r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)\p{L}[\p{L}\p{M}]+",
+    "NAME": r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)\p{L}[\p{L}\p{M}]+(?: (?:\p{Lu}|[ก-๏])[\p{L}\p{M}]+)?",
 }
 KINDS = tuple(PATTERNS)
 THAI_DIGITS = "๐๑๒๓๔๕๖๗๘๙"
@@ -27,20 +29,38 @@ THAI_DIGITS = "๐๑๒๓๔๕๖๗๘๙"
 def _for_spark(kind: str) -> str:
     """The pattern in Java's notation: borders that Thai letters don't hide, and Thai digits.
 
-    An address starts where no character of its local part stands before (or where the last
+    A border ahead of a value looks behind only and one after it ahead only, since the value's own
+    end is a word character by its pattern. An address starts where no character of its local part stands before (or where the last
     match ended), so a long run of letters is scanned once.
     """
     pattern = PATTERNS[kind]
     if kind == "EMAIL":
         return r"(?:\G|(?<![A-Za-z0-9._%+\-]))" + pattern
     pattern = pattern.replace(r"\b0", r"\b[0๐]").replace("66", "[6๖]{2}")
-    after = r"(?<=[A-Za-z0-9_๐-๙])(?![A-Za-z0-9_๐-๙])"
-    before = r"(?<![A-Za-z0-9_๐-๙])(?=[A-Za-z0-9_๐-๙])"
-    return pattern.replace(r"\b", f"(?:{before}|{after})").replace(r"\d", "[0-9๐-๙]")
+    pattern = re.sub(r"\\b(?=\||$)", lambda _: r"(?![A-Za-z0-9_๐-๙])", pattern)
+    return pattern.replace(r"\b", r"(?<![A-Za-z0-9_๐-๙])").replace(r"\d", "[0-9๐-๙]")
 
 
 SPARK_PATTERNS = {kind: _for_spark(kind) for kind in KINDS}
 
+# What a text must hold for a kind to occur in it; one of the words, or a run of digits.
+NEEDED_WORDS = {
+    "EMAIL": ("@",), "URL": ("://",), "NAME": ("Mr", "Ms", "Dr", "Prof", "นาย", "นาง", "คุณ"),
+    "SECRET": ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxa-", "xoxb-", "xoxp-"),
+}
+NEEDED_WORDS_ANY_CASE = {"SECRET": ("token", "secret", "password", "api")}
+NEEDED_DIGITS = {"IP": "[0-9๐-๙][.][0-9๐-๙]", "THAI_ID": "[0-9๐-๙]{4}", "CARD": "[0-9๐-๙]{4}", "PHONE": "[0-9๐-๙]{3}"}
+
+
+def may_hold(kind: str, text: Column) -> Column:
+    """Whether the text can hold a value of the kind: plain searches, much cheaper than the pattern."""
+    tests = [F.contains(text, F.lit(w)) for w in NEEDED_WORDS.get(kind, ())]
+    if kind in NEEDED_WORDS_ANY_CASE:
+        tests.append(F.regexp_like(text, F.lit("(?i)" + "|".join(NEEDED_WORDS_ANY_CASE[kind]))))
+    if kind in NEEDED_DIGITS:
+        tests.append(F.regexp_like(text, F.lit(NEEDED_DIGITS[kind])))
+    return reduce(lambda a, b: a | b, tests)
+
 
 def plain_digits(value: Column) -> Column:
     """Thai digits as 0-9, so one number has one form."""

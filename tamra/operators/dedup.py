@@ -24,12 +24,14 @@ def content_sha(text: Column) -> Column:
 def exact_dedup(df: DataFrame) -> DataFrame:
     """Keep the first document (smallest ``doc_id``) of each normalised text; add ``n_copies``.
 
-    The winner is an aggregate, combined before the shuffle: a text that fills a third of the
-    corpus reaches its reducer as one row per task.
+    A null id comes last, rows of one id and text are told apart by their hash, null texts are one
+    text. The winning row is an aggregate, combined before the shuffle: a text that fills a third
+    of the corpus reaches its reducer as one row per task, and nothing is joined.
     """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*df.columns).alias("tie"))
     first = df.groupBy(content_sha(F.col("text")).alias("_sha")).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))
-    return df.join(first.drop("_sha"), "doc_id")
+        F.min_by(F.struct(*(F.col(c) for c in df.columns)), order).alias("_row"), F.count(F.lit(1)).alias("n_copies"))
+    return first.select("_row.*", "n_copies")
 
 
 def shingle_set(text: Column, n: int = 3) -> Column:

@@ -313,17 +313,16 @@ def group_gap(scores: DataFrame, attribute: str) -> DataFrame:
 
 
 def preference_pairs(rankings: DataFrame) -> DataFrame:
-    """``prompt_id, chosen, rejected``: each ranked answer (``answer_id, rank``) against those of the next rank.
+    """``prompt_id, chosen, rejected``: every ordered pair of a prompt's answers (``answer_id, rank``), the better rank first.
 
-    Ranks may repeat or leave gaps: the next rank is the next one that occurs, so no answer is lost.
-    Neighbours carry the whole ranking; all ordered pairs of a prompt would grow with its square.
-    The join key is prompt and rank, so a prompt with many answers is spread.
+    The result has a row for each pair, so it grows with the square of a prompt's answers. The
+    join key is prompt and rank of the chosen answer: each answer goes to the better ranks that
+    occur in its prompt, so a prompt of many answers is spread over its ranks.
     """
-    ranks = rankings.select("prompt_id", "rank").distinct()
-    ordered = W.partitionBy("prompt_id").orderBy("rank")
-    steps = ranks.select("prompt_id", "rank", F.lead("rank").over(ordered).alias("_next"))
-    a = rankings.join(steps, ["prompt_id", "rank"]).select("prompt_id", F.col("answer_id").alias("chosen"), F.col("_next").alias("_rank"))
-    b = rankings.select("prompt_id", F.col("answer_id").alias("rejected"), F.col("rank").alias("_rank"))
+    ranks = rankings.where(F.col("rank").isNotNull()).groupBy("prompt_id").agg(F.collect_set("rank").alias("_ranks"))
+    better = F.explode(F.filter("_ranks", lambda r: r < F.col("rank"))).alias("_rank")
+    b = rankings.join(ranks, "prompt_id").select("prompt_id", F.col("answer_id").alias("rejected"), better)
+    a = rankings.select("prompt_id", F.col("answer_id").alias("chosen"), F.col("rank").alias("_rank"))
     return a.join(b, ["prompt_id", "_rank"]).select("prompt_id", "chosen", "rejected")
 
 

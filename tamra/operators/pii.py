@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamra.functions.personal import KINDS, SPARK_PATTERNS, Redaction, plain_digits, valid
+from tamra.functions.personal import KINDS, RULES, SPARK_PATTERNS, Redaction, may_hold, plain_digits, valid
 from tamra.functions.text import let, ngrams, surface_tokens
 from tamra.operators.dedup import gram_keys
 
 # Words that lead a person's name.
-HONORIFIC = r"(?:(?<![A-Za-z0-9_])(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+)"
+HONORIFIC = r"(?:(?<![A-Za-z0-9_])(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+(?: (?:\p{Lu}|[ก-๏])[\p{L}\p{M}]+)?)"
 
 
 def detect(df: DataFrame, kind: str) -> DataFrame:
@@ -33,9 +33,9 @@ def raw_spans(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     for kind in kinds:
         found = F.regexp_extract_all("text", F.lit(SPARK_PATTERNS[kind]), F.lit(0))
         gaps = F.transform(F.split("text", SPARK_PATTERNS[kind], -1), F.length)
-        per_kind.append(F.struct(F.lit(kind).alias("pii_type"), found.alias("m"),
-                                 F.when(F.regexp_like("text", F.lit(SPARK_PATTERNS[kind])), gaps).alias("g")))
-    kept = df.select("doc_id", F.inline(F.array(*per_kind))).filter(F.size("m") > 0)
+        holds = may_hold(kind, F.col("text")) & F.regexp_like("text", F.lit(SPARK_PATTERNS[kind]))
+        per_kind.append(F.when(holds, F.struct(F.lit(kind).alias("pii_type"), found.alias("m"), gaps.alias("g"))))
+    kept = df.select("doc_id", F.inline(F.array_compact(F.array(*per_kind))))
     rows = kept.select("doc_id", "pii_type", F.posexplode(F.arrays_zip("m", F.slice("g", F.lit(1), F.size("m")).alias("g"))))
     order = W.partitionBy("doc_id", "pii_type").orderBy("pos")
     value = F.col("col.m")
@@ -76,10 +76,12 @@ def _replace(kind: str, how: Redaction) -> Callable[[Column], Column]:
     pattern = SPARK_PATTERNS[kind]
 
     def build(text: Column) -> Column:
+        if kind not in RULES and how.mode == "redact":  # every match is valid and becomes the same mark
+            return F.when(may_hold(kind, text), F.regexp_replace(text, pattern, f"<{kind}>")).otherwise(text)
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         marked = F.transform(found, lambda v: F.when(valid(kind, v), how.mark(kind, v)).otherwise(v))
         joined = F.zip_with(F.split(text, pattern, -1), marked, lambda gap, mark: F.concat(gap, F.coalesce(mark, F.lit(""))))
-        return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(joined, "")).otherwise(text)
+        return F.when(may_hold(kind, text) & F.regexp_like(text, F.lit(pattern)), F.array_join(joined, "")).otherwise(text)
 
     return build
 

@@ -295,7 +295,7 @@ def group_gap(spark, sf):
 
 @query("e21_preference_pairs", """
 WITH r AS (SELECT l_orderkey, l_partkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY floor(l_quantity / 10)) AS n FROM lineitem)
-SELECT a.l_orderkey AS prompt_id, a.l_partkey AS chosen, b.l_partkey AS rejected FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.n + 1 = b.n""")
+SELECT a.l_orderkey AS prompt_id, a.l_partkey AS chosen, b.l_partkey AS rejected FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.n < b.n""")
 def preference_pairs(spark, sf):
     return evaluate.preference_pairs(table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("prompt_id"), F.col("l_partkey").alias("answer_id"), F.floor(F.col("l_quantity") / 10).alias("rank")))

@@ -93,12 +93,15 @@ def sessions(spark, sf):
 
 
 @query("w6_stream_upsert", f"""
-SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.s, b.s) AS content_sha, CASE WHEN a.s IS NULL OR a.s = b.s THEN 1 ELSE 2 END AS version
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.s, b.s) AS content_sha, CASE WHEN a.s IS NULL OR a.s = b.s THEN 1 ELSE 3 END AS version
 FROM (SELECT doc_id, {SHA} AS s FROM documents) a FULL JOIN (SELECT doc_id, {SHA} AS s FROM {OLD_SQL}) b USING (doc_id)""")
 def stream_upsert(spark, sf):
     folder, target, state = (scratch(spark, x) for x in ("upsert-in", "upsert-table", "upsert-state"))
-    for version, docs in ((1, old_documents(spark, sf)), (2, table(spark, sf, "documents").select("doc_id", "text"))):
-        docs.withColumn("version", F.lit(version)).write.mode("append").parquet(folder)
+    old, new = old_documents(spark, sf), table(spark, sf, "documents").select("doc_id", "text")
+    late = new.withColumn("text", F.concat(F.lit("late "), "text"))  # an older version that comes after a newer one
+    for docs in (old.withColumn("version", F.lit(1)), new.withColumn("version", F.lit(3)).unionByName(late.withColumn("version", F.lit(2))),
+                 late.withColumn("version", F.lit(2))):
+        docs.write.mode("append").parquet(folder)
         stream = spark.readStream.schema("doc_id bigint, text string, version int").parquet(folder)
         streams.upsert_stream(stream, target, state)
     return streams.current(spark.read.parquet(target)).select("doc_id", "content_sha", "version")

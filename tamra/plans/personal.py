@@ -96,7 +96,7 @@ def pii_hits(spark, sf):
     return pii.pii_hits(personal_documents(spark, sf), salt="pepper")
 
 
-HONORIFIC_SQL = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+)"
+HONORIFIC_SQL = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\. ?|(?:นางสาว|นาย|นาง|คุณ) ?)(\p{L}[\p{L}\p{M}]+(?: (?:\p{Lu}|[ก-๏])[\p{L}\p{M}]+)?)"
 
 
 @query("r7_names", f"""

@@ -61,38 +61,44 @@ def sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "10 minute
 
 
 def upsert_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: append the documents of a batch that are new or changed.
+    """For ``foreachBatch``: append the documents of a batch that are newer than what is stored, and changed.
 
-    A batch writes to a folder of its own and overwrites it when it is tried again, so a retry
-    leaves no second copy.
+    Of a document's rows in a batch the highest version counts, the greatest hash of two that tie. A
+    newer version of unchanged text is noted without its payload, so a late row between two
+    versions loses. Only key columns of the table are read. A batch writes to a folder of its own
+    and overwrites it when it is tried again, so a retry leaves no second copy.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         keyed = batch.withColumn("content_sha", content_sha(F.col("text")))
-        latest = keyed.groupBy("doc_id").agg(F.max("version").alias("version"))
-        keyed = keyed.join(latest, ["doc_id", "version"])
-        target = f"{path}/batch={batch_id}"
-        try:
-            stored = spark.read.parquet(path).filter(F.col("batch") < batch_id)
-            keyed = keyed.join(current(stored).select("doc_id", "content_sha"), ["doc_id", "content_sha"], "left_anti")
-        except Exception as error:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        keyed.write.mode("overwrite").parquet(target)
+        payload = [c for c in keyed.columns if c not in ("doc_id", "version", "content_sha")]
+        best = F.max_by(F.struct(*(c for c in keyed.columns if c != "doc_id")), F.struct("version", "content_sha"))
+        keyed = keyed.groupBy("doc_id").agg(best.alias("_r")).select("doc_id", "_r.*")
+        known = newest(batch.sparkSession.read.schema("doc_id long, version int, content_sha string, batch int").parquet(path).filter(F.col("batch") < batch_id))
+        keyed = keyed.join(known, "doc_id", "left").filter(F.col("_known").isNull() | (F.col("version") > F.col("_known.version")))
+        changed = ~F.col("content_sha").eqNullSafe(F.col("_known.content_sha")) | F.col("_known").isNull()
+        keyed = keyed.withColumn("changed", changed).select("doc_id", "version", "content_sha", "changed", *(F.when(F.col("changed"), F.col(c)).alias(c) for c in payload))
+        keyed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
+def newest(stored: DataFrame) -> DataFrame:
+    """``doc_id`` and ``_known``, the latest version noted of each document; reads key columns only."""
+    return stored.groupBy("doc_id").agg(F.max(F.struct("version", "batch", "content_sha")).alias("_known"))
+
+
 def current(stored: DataFrame) -> DataFrame:
-    """The latest stored version of each document."""
-    columns = [c for c in stored.columns if c != "doc_id"]
-    newest = F.max_by(F.struct(*columns), F.struct("batch", "version"))
-    return stored.groupBy("doc_id").agg(newest.alias("_r")).select("doc_id", "_r.*")
+    """The text of each document at its latest version, with the version that brought it."""
+    columns = [c for c in stored.columns if c not in ("doc_id", "changed")]
+    latest = F.max_by(F.struct(*columns), F.struct("version", "batch"))
+    return stored.filter("changed").groupBy("doc_id").agg(latest.alias("_r")).select("doc_id", "_r.*")
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Bring the table at ``path`` up to date with what the stream has; made empty if there is none."""
+    spark = stream.sparkSession
+    empty = spark.createDataFrame([], stream.schema).selectExpr("*", "cast(null as string) AS content_sha", "true AS changed")
+    empty.write.mode("overwrite").parquet(f"{path}/batch=-1")
     query = (stream.writeStream.foreachBatch(upsert_batch(path)).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-
-
