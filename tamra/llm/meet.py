@@ -4,6 +4,10 @@ A bucket is a hash table's entry or a shingle's list. Its members are dealt over
 size by hash, and a task sees two blocks at a time, so no bucket is held by one task. Inside a
 task pairs are compared by size and parity bitmap, which bound the similarity from above; only
 what passes leaves the task. Many small buckets share a task and its batches.
+
+Crowded buckets, which groups of near copies make, give each member's most similar partner first
+(``nearest``): a row a member, which joins most of such a group before all that is left of its
+pairs may leave.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 from tamra.llm.sets import bitmaps
 
 BLOCK = 1_024  # members of a bucket that meet as many others at once
+CROWD = 32  # members of a bucket whose nearest partners are joined first
 
 # Given the columns of a task's bucket by name, a row and the rows it might pair with: which of those it may.
 Admit = Callable[[dict[str, np.ndarray], int, np.ndarray], np.ndarray]
@@ -53,8 +58,8 @@ def _buckets(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[di
         yield {c: np.concatenate([h[c] for h in held]) for c in names}
 
 
-def _close(x: dict[str, np.ndarray], percent: int, admit: Admit | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, rows): partners of other parts, none smaller, whose similarity may reach ``percent``."""
+def _close(x: dict[str, np.ndarray], percent: int, admit: Admit | None, nearest: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows): partners of other parts, none smaller, whose similarity may reach ``percent``; with ``nearest`` the likeliest."""
     order = np.argsort(x["n"], kind="stable")
     x = {c: v[order] for c, v in x.items()}
     n, part, bits, block = x["n"].astype(np.int64), x["part"], x["bits"], x["block"]
@@ -70,18 +75,23 @@ def _close(x: dict[str, np.ndarray], percent: int, admit: Admit | None) -> Itera
         if len(at):
             apart = np.bitwise_count(bits[at] ^ bits[a]).sum(1, dtype=np.int64)
             most = np.minimum((n[at] + n[a] - apart) // 2, n[a])
-            at = at[most * (100 + percent) >= percent * (n[at] + n[a])]
+            fits = most * (100 + percent) >= percent * (n[at] + n[a])
+            at, most = at[fits], most[fits]
+            if nearest and len(at):
+                best = int(np.argmax(most / (n[at] + n[a] - most)))
+                at = at[best:best + 1]
         if len(at) and admit is not None:
             at = at[admit(x, a, at)]
         if len(at):
             yield name[a], name[at]
 
 
-def pairs(rows: DataFrame, payload: DataFrame, percent: int, admit: Admit | None = None) -> DataFrame:
+def pairs(rows: DataFrame, payload: DataFrame, percent: int, admit: Admit | None = None, nearest: bool = False) -> DataFrame:
     """(a, b, bucket): classes of different parts that share a bucket and may reach the similarity.
 
     ``rows`` holds bucket, class, part, size (of the bucket) and what ``admit`` asks for; ``payload``
-    holds class, n, bits and more of that. A pair is given once for each bucket that admits it.
+    holds class, n, bits and more of that. A pair is given once for each bucket that admits it;
+    with ``nearest`` a member gives one pair a task at most.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     met = rows.join(payload, "class").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class", "bucket"), F.col("blocks")).cast("int"))
@@ -98,7 +108,7 @@ def pairs(rows: DataFrame, payload: DataFrame, percent: int, admit: Admit | None
                                               names=["a", "b", "bucket"])
 
         for x in _buckets(batches, names):
-            for a, others in _close(x, percent, admit):
+            for a, others in _close(x, percent, admit, nearest):
                 found.append((np.full(len(others), a), others, np.full(len(others), x["bucket"][0])))
                 held += len(others)
                 if held >= 100_000:

@@ -123,6 +123,11 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 85, halves: int
         return (one.argmax(1) == table // halves) & (other.argmax(1) == table % halves) & one.any(1) & other.any(1)
 
     as_bytes = classes.select("class", "n", "bits", "halves").mapInArrow(_flat, "class bigint, n int, bits binary, halves binary")
+    crowded = tables.where(F.col("size") >= meet.CROWD)
+    if not crowded.isEmpty():  # groups of near copies: each member's nearest partner first
+        near = stored(meet.pairs(crowded, as_bytes, percent, nearest=True).select("a", "b").distinct(), "nearest")
+        links = links.unionByName(linked(near, whole_sets(classes_of(near), docs, firsts, words), percent))
+        tables = stored(meet.over_parts(parts(tables.drop("part", "size"), links), "bucket"), "table-entries")
     pairs = stored(meet.pairs(tables, as_bytes, percent, first_shared).select("a", "b").distinct(), "candidates")
     links = links.unionByName(linked(pairs, whole_sets(classes_of(pairs), docs, firsts, words), percent))
 
