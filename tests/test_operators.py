@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tamra.functions import calendar
 from tamra.functions.personal import card_ok, ip_ok, thai_id_ok
 from tamra.operators import chat, chunk, dedup, evaluate, ordering, pii, retrieve, shape, tokens
+from tamra.streaming import streams
 
 
 def test_row_numbers_and_running_sums_agree_with_one_window(spark):
@@ -111,6 +112,37 @@ def test_exact_dedup_is_idempotent(spark):
     assert dedup.exact_dedup(once).count() == 2
 
 
+def test_exact_dedup_of_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "a b c"), (1, "a b c"), (2, None), (2, "x"), (2, "x"), (None, "y")], "doc_id bigint, text string")
+    assert sorted(map(repr, map(tuple, dedup.exact_dedup(df).collect()))) == sorted(map(repr, [(1, "a b c", 2), (2, None, 1), (2, "x", 2), (None, "y", 1)]))
+
+
+def test_preference_pairs_are_all_ordered_pairs(spark):
+    ranked = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (1, "c", 3), (1, "d", 7), (2, "e", 1), (1, "f", None)], "prompt_id int, answer_id string, rank int")
+    got = sorted((r.chosen, r.rejected) for r in evaluate.preference_pairs(ranked).collect())
+    assert got == [("a", "b"), ("a", "c"), ("a", "d"), ("b", "d"), ("c", "d")]
+
+
+def test_whole_names_are_redacted(spark):
+    said = ["Dr. Jane Smith called", "คุณสมชาย ใจดี 5", "Mr. X. is short", "Mrs. Ann went"]
+    got = pii.redact(spark.createDataFrame(list(enumerate(said)), "doc_id int, text string"), kinds=["NAME"]).orderBy("doc_id").collect()
+    assert [r.text for r in got] == ["<NAME> called", "<NAME> 5", "Mr. X. is short", "<NAME> went"]
+
+
+def test_a_late_old_version_loses(spark, tmp_path):
+    table = str(tmp_path / "table")
+    empty = spark.createDataFrame([], "doc_id long, text string, version int, content_sha string, changed boolean")
+    empty.write.parquet(f"{table}/batch=-1")
+    write = streams.upsert_batch(table)
+    batches = [[(1, "a", 1), (2, "p", 1), (2, "q", 1)], [(1, "b", 5)], [(1, "c", 3)], [(2, "q", 4), (2, "p", 4)], [(2, "z", 2)]]
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, "doc_id long, text string, version int"), i)
+    write(spark.createDataFrame(batches[-1], "doc_id long, text string, version int"), len(batches) - 1)  # tried again
+    got = {r.doc_id: (r.text, r.version) for r in streams.current(spark.read.parquet(table)).collect()}
+    assert got[1] == ("b", 5)
+    assert got[2][0] in ("p", "q") and len(got) == 2
+
+
 def test_segmentation_by_pattern_and_by_join_agree(spark):
     words = spark.createDataFrame([("ตา",), ("ตาก",), ("กลม",), ("ลม",), ("นาน",)], "word string")
     df = spark.createDataFrame([(1, "ตากลม abc ตาขขกลมนาน๑๒"), (2, ""), (3, "no thai")], "doc_id bigint, text string")
