@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,16 @@ WORD = r"[\p{L}\p{M}\p{N}]+"
 TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
 
 
+class Rules(NamedTuple):
+    """Patterns of a word and of a token (a word or a single symbol); together the tokens cover all but white space."""
+
+    word: str
+    token: str
+
+
+PLAIN = Rules(WORD, TOKEN)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -26,18 +37,18 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
-def words(text: Column) -> Column:
+def words(text: Column, rules: Rules = PLAIN) -> Column:
     """Lower-case words, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(rules.word), F.lit(0))
 
 
 # To give each array element a row, the operators use ``explode_outer`` and drop the null row: for
 # ``explode`` the optimizer adds a filter on the size of the array, which computes the array again.
 
 
-def surface_tokens(text: Column) -> Column:
+def surface_tokens(text: Column, rules: Rules = PLAIN) -> Column:
     """Words and single symbols, in order, case kept."""
-    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rules.token), F.lit(0))
 
 
 def ngrams(items: Column, n: int, sep: str = " ") -> Column:

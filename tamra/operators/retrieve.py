@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamra.functions.text import let, ngrams, words
+from tamra.functions.text import PLAIN, Rules, let, ngrams, words
 from tamra.operators.index import bm25_weight, corpus_size, term_statistics
 from tamra.operators.ordering import following
 from tamra.session import cut
@@ -127,15 +127,16 @@ def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, n
     return top(scored, k)
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    found = F.array_distinct(words(F.col("text")))
+def query_terms(queries: DataFrame, rules: Rules = PLAIN) -> DataFrame:
+    found = F.array_distinct(words(F.col("text"), rules))
     return queries.select("query_id", F.explode_outer(found).alias("term")).filter("term IS NOT NULL")
 
 
-def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | None = None, places: int = 6) -> DataFrame:
-    """Lexical top-k: ``query_id, chunk_id, score, rank``. Statistics are those of the whole table of postings."""
+def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | None = None, places: int = 6,
+              rules: Rules = PLAIN) -> DataFrame:
+    """Lexical top-k: ``query_id, chunk_id, score, rank``. Statistics are those of the whole table of postings, built by the same ``rules``."""
     n, mean = corpus_size(postings)
-    terms = query_terms(queries)
+    terms = query_terms(queries, rules)
     wanted = terms.select("term").distinct()
     base = postings if where is None else postings.filter(where)
     relevant = postings.join(wanted, "term", "left_semi")

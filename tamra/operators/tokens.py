@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamra.functions.text import surface_tokens, words
+from tamra.functions.text import PLAIN, Rules, surface_tokens, words
 from tamra.operators.ordering import rank_by_value, running
 from tamra.session import cut
 
@@ -17,9 +17,9 @@ MAX_LOOKUP = 1_000_000
 SYMBOL_GAP = "  "
 
 
-def build_vocab(df: DataFrame, size: int) -> DataFrame:
+def build_vocab(df: DataFrame, size: int, rules: Rules = PLAIN) -> DataFrame:
     """``token, n, token_id``: the ``size`` most frequent tokens, ids by frequency after the reserved ones."""
-    found = df.select(F.explode_outer(surface_tokens(F.col("text"))).alias("token")).filter("token IS NOT NULL")
+    found = df.select(F.explode_outer(surface_tokens(F.col("text"), rules)).alias("token")).filter("token IS NOT NULL")
     counts = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     kept = counts.orderBy(F.desc("n"), "token").limit(size)  # bounded by ``size``, so one task may number it
     return kept.withColumn("token_id", (F.row_number().over(W.orderBy(F.desc("n"), "token")) + RESERVED - 1).cast("int"))
@@ -47,14 +47,14 @@ def _lookup(vocab: DataFrame):
     return ids
 
 
-def tokenise(df: DataFrame, vocab: DataFrame, keep: tuple[str, ...] = ("source",)) -> DataFrame:
+def tokenise(df: DataFrame, vocab: DataFrame, keep: tuple[str, ...] = ("source",), rules: Rules = PLAIN) -> DataFrame:
     """``doc_id, n_tokens, input_ids`` with the end mark after each document; unknown tokens get ``UNK``.
 
-    A vocabulary of up to a million tokens is looked up batch-wise inside the scan task, without
+    ``rules`` are those that built the vocabulary. A vocabulary of up to a million tokens is looked up batch-wise inside the scan task, without
     a shuffle. A larger one is joined.
     """
     kept = [c for c in keep if c in df.columns]
-    split = df.select("doc_id", *kept, surface_tokens(F.col("text")).alias("_tokens"))
+    split = df.select("doc_id", *kept, surface_tokens(F.col("text"), rules).alias("_tokens"))
     n_tokens = (F.size("_tokens") + 1).cast("int").alias("n_tokens")
     if vocab.limit(MAX_LOOKUP + 1).count() <= MAX_LOOKUP:
         ids = F.concat(_lookup(vocab)(F.col("_tokens")), F.array(F.lit(EOS)))
