@@ -1,7 +1,7 @@
 """Queries over Thai text without blanks: tokens, vocabulary, chunks, weights and retrieval by dictionary words.
 
 The documents spell the words of the given table in Thai letters with the blanks taken out; the
-dictionary holds the words that occur 20 times or more.
+dictionary holds every word that makes up a 2,000th of all words or more, hence 2,000 words at most.
 """
 
 from pyspark.sql import functions as F
@@ -12,27 +12,35 @@ from tamra.operators import chunk, index, retrieve, tokens
 from tamra.plans import sqltext as S
 from tamra.plans.blocks import TOK_SQL, VOCAB, VOCAB_SQL, joined
 from tamra.plans.registry import query, table
-from tamra.plans.retrieval import BM25_SQL, CHUNKS_SQL, LATIN, OVERLAP, POST_SQL, SIZE, THAI
+from tamra.plans.retrieval import BM25_SQL, CHUNKS_SQL, LATIN, OVERLAP, POST_SQL, SIZE, STEP, THAI
 from tamra.session import cut
 
+SHARE = 2000
 _THAI_TEXT = f"translate(replace(lower(text), ' ', ''), '{LATIN}', '{THAI}')"
 _BLOCK = thai.LETTERS + thai.DIGITS
 _OTHER = "(?:" + "|".join(rf"[^\P{{{c}}}{_BLOCK}]" for c in "LMN") + ")+"
 _TAIL = f"|[{thai.DIGITS}]+|{thai.CLUSTER}|{_OTHER}"
-# One alternation with the longest words first: what a prefix tree finds, spelled for another engine.
-_DICT_SQL = f"""dict AS MATERIALIZED (SELECT w AS word FROM (SELECT translate(w, '{LATIN}', '{THAI}') AS w, count(*) AS c
-    FROM (SELECT unnest({S.words()}) AS w FROM documents) GROUP BY 1) WHERE c >= 20 AND regexp_matches(w, '^[{thai.LETTERS}]+$')),
+# One alternation, each word before those it begins with: what a prefix tree finds, spelled for another engine.
+_DICT_SQL = f"""counted AS MATERIALIZED (SELECT translate(w, '{LATIN}', '{THAI}') AS w, count(*) AS c FROM (SELECT unnest({S.words()}) AS w FROM documents) GROUP BY 1),
+  dict AS MATERIALIZED (SELECT w AS word FROM counted WHERE c * {SHARE} >= (SELECT sum(c) FROM counted) AND regexp_matches(w, '^[{thai.LETTERS}]+$')),
   pat AS MATERIALIZED (SELECT w, w || '|[^\\s\\p{{L}}\\p{{M}}\\p{{N}}]' AS p FROM (
-    SELECT coalesce('(?:' || string_agg(word, '|' ORDER BY len(word) DESC, word) || ')', '[^\\s\\S]') || {S.quote(_TAIL)} AS w FROM dict)),
+    SELECT coalesce('(?:' || string_agg(word, '|' ORDER BY word DESC) || ')', '[^\\s\\S]') || {S.quote(_TAIL)} AS w FROM dict)),
   tdocs AS MATERIALIZED (SELECT doc_id, source, {_THAI_TEXT} AS text FROM documents),
   tbench AS MATERIALIZED (SELECT item_id, {_THAI_TEXT} AS text FROM benchmark),
+  cutdocs AS MATERIALIZED (SELECT *, regexp_extract_all(text, p) AS tt FROM tdocs, pat),
   """
+_CHUNK_WORDS = f"""SELECT chunk_id, list_filter(tt[chunk_no * {STEP} + 1:chunk_no * {STEP} + n_tokens], lambda x: regexp_matches(x, '^[\\p{{L}}\\p{{M}}\\p{{N}}]')) AS w
+    FROM chunks JOIN cutdocs USING (doc_id)"""
 
 
 def _thai_sql(sql):
-    """The parts of a query of plain text, over the Thai tables and patterns."""
-    return _DICT_SQL + (sql.replace(S.quote(S.TOKEN), "p").replace(S.quote(S.WORD), "w").replace("FROM documents", "FROM tdocs, pat")
-                        .replace("FROM chunks", "FROM chunks, pat").replace("FROM benchmark", "FROM tbench, pat"))
+    """The parts of a query of plain text, over the Thai tables, whose texts are cut once."""
+    parts = ((f"SELECT chunk_id, {S.words()} AS w FROM chunks", _CHUNK_WORDS),
+             (f"string_split(regexp_replace(text, {S.quote(S.TOKEN)}, chr(1), 'g'), chr(1))", f"string_split(regexp_replace(text, p, chr(1), 'g'), chr(1))"),
+             (S.tokens(), "tt"), (S.quote(S.WORD), "w"), ("FROM documents", "FROM cutdocs"), ("FROM benchmark", "FROM tbench, pat"))
+    for plain, cut_already in parts:
+        sql = sql.replace(plain, cut_already)
+    return _DICT_SQL + sql
 
 
 def spelled(frame):
@@ -45,8 +53,9 @@ def thai_docs(spark, sf):
 
 def thai_rules(spark, sf):
     found = table(spark, sf, "documents").select(F.explode_outer(words(F.col("text"))).alias("w")).filter("w IS NOT NULL")
-    counted = found.groupBy(F.translate("w", LATIN, THAI).alias("word")).agg(F.count(F.lit(1)).alias("n"))
-    return thai.rules(counted.filter("n >= 20"))
+    counted = cut(found.groupBy(F.translate("w", LATIN, THAI).alias("word")).agg(F.count(F.lit(1)).alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0  # one number
+    return thai.rules(counted.filter(F.col("n") * SHARE >= total))
 
 
 def thai_chunks(spark, sf, rules):
