@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,119 +11,38 @@ from pyspark.sql import Window as W
 from tamra.functions.text import PLAIN, Rules, let, ngrams, words
 from tamra.operators.index import bm25_weight, corpus_size, term_statistics
 from tamra.operators.ordering import following
+from tamra.operators.search import BLOCK, SHARD, nearest, top
 from tamra.session import cut
 
-QUERY_BLOCK = 2048
 RRF = 60
-MAX_CELLS = 65_536
-
-
-def top(scored: DataFrame, k: int, by: str = "query_id", item: str = "chunk_id") -> DataFrame:
-    """The ``k`` best items per query, ties by item. Spark keeps ``k`` per task before the shuffle."""
-    best = W.partitionBy(by).orderBy(F.desc("score"), item)
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, where: Column | None = None,
-               block: int = QUERY_BLOCK, places: int = 6) -> DataFrame:
+               block: int = BLOCK, shard: int = SHARD, places: int = 6) -> DataFrame:
     """Exact cosine top-k: ``query_id, chunk_id, score, rank``.
 
-    Queries travel to the vectors in blocks of at most ``block`` rows; each task multiplies its
-    Arrow batches with the block and keeps ``k`` rows per query and batch, so no table of all
-    pairs is made. One scan of the vectors per block. ``where`` filters vectors before the search.
+    Every query meets every vector, ``block`` queries with ``shard`` vectors at a time, and only rows
+    that reach the kth score so far leave a task. ``where`` filters vectors before the search.
     """
-    base = (vectors if where is None else vectors.filter(where)).select("chunk_id", "embedding")
-    schema = "query_id bigint, chunk_id string, score double"
-    parts, rows = [], []
-
-    def search() -> DataFrame:
-        return base.mapInPandas(_scorer(rows, k, places), schema)
-
-    for row in queries.select("query_id", "embedding").toLocalIterator():
-        if len(rows) == block:
-            parts.append(cut(top(search(), k).drop("rank")))  # done and stored, so one block is held at a time
-            rows = []
-        rows.append((row["query_id"], list(row["embedding"])))
-    if not rows:
-        return queries.sparkSession.createDataFrame([], schema + ", rank int")
-    return top(reduce(DataFrame.unionByName, [*parts, search()]), k)
-
-
-def _scorer(rows: list, k: int, places: int) -> Callable:
-    import numpy as np
-
-    ids = np.array([r[0] for r in rows], dtype="int64")
-    matrix = np.array([r[1] for r in rows], dtype="float64")
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
-
-    def run(batches):
-        import pandas as pd
+    base = vectors if where is None else vectors.filter(where)
+    found = nearest(queries.select("query_id", "embedding"), base.select(F.col("chunk_id").alias("item"), "embedding"),
+                    k, places=places, block=block, shard=shard)
+    return found.withColumnRenamed("item", "chunk_id")
 
-        for batch in batches:
-            if batch.empty:
-                continue
-            batch = batch.sort_values("chunk_id")  # a stable sort by score then breaks ties by item
-            items = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            lengths = np.linalg.norm(items, axis=1, keepdims=True)
-            items = np.divide(items, lengths, out=np.zeros_like(items), where=lengths > 0)
-            scores = np.round(unit @ items.T, places)
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            yield pd.DataFrame({
-                "query_id": np.repeat(ids, best.shape[1]),
-                "chunk_id": batch["chunk_id"].to_numpy()[best.ravel()],
-                "score": np.take_along_axis(scores, best, axis=1).ravel()})
 
-    return run
+def nearest_cells(queries: DataFrame, cells: DataFrame, nprobe: int, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """``query_id, embedding, cell``: the ``nprobe`` cells with the closest centroids, of a table of any size."""
+    asked = queries.select("query_id", "embedding")
+    closest = nearest(asked, cells.select(F.col("cell").alias("item"), F.col("centroid").alias("embedding")), nprobe, "distance", 9, block, shard)
+    return asked.join(closest.select("query_id", F.col("item").alias("cell")), "query_id")
 
 
-def unit(vector: Column) -> Column:
-    """The vector at length one (zeros stay zeros), in double precision."""
-    def scaled(v: Column) -> Column:
-        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x))
-        return let(norm, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
-
-    return let(vector.cast("array<double>"), scaled)
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-
-def nearest_cells(queries: DataFrame, cells: DataFrame, nprobe: int) -> DataFrame:
-    """``query_id, embedding, cell``: the ``nprobe`` cells with the closest centroids, computed in the row.
-
-    The centroid table has one row per cell; its size is the parameter of the index, a few thousand.
-    """
-    rows = [(r["cell"], [float(x) for x in r["centroid"]]) for r in cells.limit(MAX_CELLS + 1).collect()]
-    if len(rows) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells: probe a coarser index first")
-    import numpy as np
-
-    names = np.array([r[0] for r in rows])
-    centroids = np.array([r[1] for r in rows])
-
-    def probe(batches):
-        for batch in batches:
-            if batch.empty:
-                continue
-            vectors = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            distance = np.round((vectors**2).sum(1, keepdims=True) - 2 * vectors @ centroids.T + (centroids**2).sum(1), 9)
-            batch["cells"] = [names[np.lexsort((names, d))[:nprobe]].tolist() for d in distance]
-            yield batch[["query_id", "embedding", "cells"]]
-
-    probed = queries.select("query_id", "embedding").mapInPandas(probe, "query_id bigint, embedding array<float>, cells array<int>")
-    return probed.select("query_id", F.col("embedding").alias("query_embedding"), F.explode("cells").alias("cell"))
-
-
-def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, nprobe: int, places: int = 6) -> DataFrame:
-    """Approximate top-k: only the vectors of the ``nprobe`` closest cells are scored (an equi-join on the cell)."""
-    probes = nearest_cells(queries, cells, nprobe).select("query_id", "cell", unit(F.col("query_embedding")).alias("_q"))
-    scaled = vectors.select("chunk_id", "cell", "embedding").select(
-        "chunk_id", "cell", unit(F.col("embedding")).alias("_v"))  # scaled once, not once per pair
-    scored = scaled.join(probes, "cell").select(
-        "query_id", "chunk_id", F.round(dot(F.col("_q"), F.col("_v")), places).alias("score"))
-    return top(scored, k)
+def ann_topk(queries: DataFrame, vectors: DataFrame, cells: DataFrame, k: int, nprobe: int, places: int = 6,
+             block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """Approximate top-k: only the vectors of the ``nprobe`` closest cells are scored; a large cell is met in shards."""
+    probes = cut(nearest_cells(queries, cells, nprobe, block, shard))  # read for the sizes and for the search
+    found = nearest(probes, vectors.select(F.col("chunk_id").alias("item"), "cell", "embedding"), k, places=places, block=block, shard=shard)
+    return found.withColumnRenamed("item", "chunk_id")
 
 
 def query_terms(queries: DataFrame, rules: Rules = PLAIN) -> DataFrame:

@@ -148,9 +148,27 @@ def postings(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("x5_build_ivf")
+CELLS, ROUNDS, PROBES = 16, 3, 8
+_GAP = "round(list_sum(list_transform(range(1, len(c) + 1), lambda i: (CAST(embedding[i] AS DOUBLE) - c[i]) ** 2)), 9)"
+
+
+def _ivf_sql() -> str:
+    """The rounds of k-means one after the other: ``a`` are the assignments, ``c`` the centroids."""
+    def near(i):
+        return f"""a{i} AS MATERIALIZED (SELECT vec_id, cell FROM (SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY {_GAP}, cell) AS r FROM embeddings, c{i}) WHERE r = 1)"""
+
+    def means(i):
+        return f"""c{i + 1} AS MATERIALIZED (SELECT cell, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN (SELECT cell, list(x ORDER BY i) AS c FROM (SELECT cell, i, round(avg(x), 9) AS x FROM (
+          SELECT cell, unnest(range(1, len(embedding) + 1)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x FROM a{i} JOIN embeddings USING (vec_id)) GROUP BY 1, 2) GROUP BY 1) m USING (cell))"""
+
+    first = f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, id) - 1 AS INTEGER) AS cell, c FROM (
+          SELECT md5(CAST(vec_id AS VARCHAR)) AS h, CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS c FROM embeddings ORDER BY 1, 2 LIMIT {CELLS}))"""
+    return ", ".join([first, *[step(i) for i in range(ROUNDS) for step in (near, means)], near(ROUNDS)])
+
+
+@query("x5_build_ivf", f"WITH {_ivf_sql()} SELECT CAST(vec_id AS VARCHAR) AS chunk_id, cell FROM a{ROUNDS}")
 def build_ivf(spark, sf):
-    return index.build_ivf(vector_table(spark, sf), 16)[0].select("chunk_id", "cell")
+    return index.build_ivf(vector_table(spark, sf), CELLS, ROUNDS)[0].select("chunk_id", "cell")
 
 
 _COS = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
@@ -195,6 +213,16 @@ def ann_topk(spark, sf):
     return retrieve.ann_topk(vector_queries(spark, sf), vectors, label_cells(spark, sf), 10, 3)
 
 
+@query("q2_ann_ivf", f"""
+WITH {_ivf_sql()}, near AS (SELECT vec_id, cell FROM (SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY {_GAP}, cell) AS r FROM embeddings, c{ROUNDS}) WHERE r <= {PROBES})
+SELECT query_id, chunk_id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (
+  SELECT a.vec_id AS query_id, CAST(b.vec_id AS VARCHAR) AS chunk_id, round({_COS}, 6) AS score FROM embeddings a JOIN near n ON n.vec_id = a.vec_id
+  JOIN a{ROUNDS} m ON m.cell = n.cell JOIN embeddings b ON b.vec_id = m.vec_id)) WHERE rank <= 10""")
+def ann_ivf(spark, sf):
+    vectors, cells = index.build_ivf(vector_table(spark, sf), CELLS, ROUNDS)
+    return retrieve.ann_topk(vector_queries(spark, sf), cut(vectors), cells, 10, PROBES)
+
+
 def lexical(spark, sf, k=20):
     return retrieve.bm25_topk(bench_queries(spark, sf), cut(index.build_postings(chunks_of(spark, sf))), k)
 
