@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamra.functions.text import let, ngrams, ratio, words
+from tamra.session import cut
 
 # Markup rules, applied in this order.
 MARKUP_RULES = (
@@ -205,6 +207,33 @@ def train_quality(df: DataFrame, labels: DataFrame, label: str = "quality", feat
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
 
+def word_odds(df: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[DataFrame, float]:
+    """``term, odds`` and the odds of the classes: naive Bayes over word counts, one added to each.
+
+    Learnt from the rows of ``df`` with a label of 0 or 1. A class without words or rows counts one.
+    """
+    known = df.select("doc_id", "text").join(
+        labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id")
+    found = known.select("_y", F.explode(words(F.col("text"))).alias("term"))
+    counts = cut(found.groupBy("term").agg(F.count_if(F.col("_y") == 1).alias("good"), F.count_if(F.col("_y") == 0).alias("bad")))
+    total = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n")).first()  # three numbers
+    docs = known.agg(F.count_if(F.col("_y") == 1).alias("good"), F.count_if(F.col("_y") == 0).alias("bad")).first()
+    size = float((total["bad"] or 0) + total["n"]) / max((total["good"] or 0) + total["n"], 1)
+    odds = counts.select("term", F.log((F.col("good") + 1) / (F.col("bad") + 1) * F.lit(size)).alias("odds"))
+    return odds, math.log((docs["good"] + 1) / (docs["bad"] + 1))
+
+
+def bayes_quality(df: DataFrame, odds: DataFrame, prior: float) -> DataFrame:
+    """Add ``log_odds``: prior and the odds of all words of the document, per word; words not learnt count nothing.
+
+    Words are counted per document before the join, and only (id, word, count) is shuffled.
+    """
+    found = df.select("doc_id", F.explode(words(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("_n"))
+    sums = found.join(odds, "term", "left").groupBy("doc_id").agg(
+        ((F.lit(prior) + F.coalesce(F.sum(F.col("_n") * F.col("odds")), F.lit(0.0))) / F.sum("_n")).alias("_s"))
+    return df.join(sums, "doc_id", "left").withColumn("log_odds", F.coalesce("_s", F.lit(prior))).drop("_s")
+
+
 def with_provenance(df: DataFrame, path: Column, sanitized: Column) -> DataFrame:
     """Add ``original_path``, ``sanitized`` and a document key that no rerun changes."""
     return (

@@ -205,6 +205,21 @@ def train_quality(spark, sf):
     return clean.train_quality(documents(spark, sf), table(spark, sf, "labels")).select("doc_id", "score")
 
 
+@query("c13_bayes_quality", f"""
+WITH w AS MATERIALIZED (SELECT doc_id, unnest({S.words()}) AS term FROM documents),
+  known AS MATERIALIZED (SELECT d.doc_id, l.quality AS y FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IN (0, 1)),
+  c AS MATERIALIZED (SELECT term, count(*) FILTER (y = 1) AS good, count(*) FILTER (y = 0) AS bad FROM w JOIN known USING (doc_id) GROUP BY 1),
+  t AS (SELECT sum(good) AS good, sum(bad) AS bad, count(*) AS n FROM c),
+  p AS (SELECT ln((count(*) FILTER (y = 1) + 1) / (count(*) FILTER (y = 0) + 1)) AS prior FROM known),
+  o AS MATERIALIZED (SELECT term, ln((c.good + 1) / (c.bad + 1) * ((t.bad + t.n) / (t.good + t.n))) AS odds FROM c, t),
+  s AS (SELECT doc_id, sum(odds) AS s, count(*) AS n FROM w LEFT JOIN o USING (term) GROUP BY 1)
+SELECT d.doc_id, round(coalesce((prior + coalesce(s, 0.0)) / n, prior), 6) AS log_odds FROM documents d LEFT JOIN s USING (doc_id), p""")
+def bayes_quality(spark, sf):
+    docs = documents(spark, sf)
+    odds, prior = clean.word_odds(docs, table(spark, sf, "labels"))
+    return clean.bayes_quality(docs.select("doc_id", "text"), odds, prior).select("doc_id", F.round("log_odds", 6).alias("log_odds"))
+
+
 @query("c14_provenance", """
 SELECT doc_id, source, 'corpus/' || source AS original_path, doc_id % 7 <> 0 AS sanitized,
        sha1('corpus/' || source || chr(1) || doc_id) AS doc_key FROM documents""")

@@ -55,13 +55,36 @@ def stream_dedup(spark, sf):
     return run(spark, streams.stream_dedup(streams.stream_corpus(spark, folder, TABLE_DOC, 2)).select("content_sha"))
 
 
-def event_stream(spark, sf):
-    events = table(spark, sf, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), "user_id", (F.col("event_type") == "error").alias("is_error"),
+def events_of(spark, sf):
+    return table(spark, sf, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", (F.col("event_type") == "error").alias("is_error"),
         (F.col("value") * 0.001).alias("cost"), F.col("value").alias("latency_ms"))
+
+
+def event_stream(spark, sf):
+    events = events_of(spark, sf).drop("event_id")
     return spark.readStream.schema(events.schema).parquet(as_files(events, spark, "events-in", 1))
 
 
+def two_runs(spark, sf, build):
+    """The output of a stream over two runs: events up to the middle, then the later ones with earlier ones again."""
+    events = events_of(spark, sf)
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(ends["a"] + (ends["b"] - ends["a"]) / 2)
+    folder, out, state = (scratch(spark, x) for x in ("late-in", "late-out", "late-state"))
+    for part in (events.filter(F.col("ts") <= middle), events):  # the second holds all of the first once more
+        part.write.mode("append").parquet(folder)
+        stream = build(spark.readStream.schema(events.schema).parquet(folder))
+        streams.run_available(stream, out, state)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query("w4_dedup_watermark", "SELECT event_id, ts, user_id FROM events")
+def dedup_watermark(spark, sf):
+    found = two_runs(spark, sf, lambda events: streams.stream_dedup(events, "ts", "1 hour", ["event_id"]))
+    return found.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id")
+
+
 def _windows_sql(slide):
     starts = "unnest([time_bucket(INTERVAL 1 HOUR, ts)])" if slide is None else (
         "unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE])")
@@ -82,6 +105,19 @@ query("w5_monitor", _windows_sql(None))(_monitor(None))
 query("w5_monitor_sliding", _windows_sql("30 minutes"))(_monitor("30 minutes"))
 
 
+@query("w5_monitor_late", f"""WITH e AS MATERIALIZED (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events),
+  m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events, e WHERE ts <= middle),
+  r AS (SELECT ts, event_type, value, time_bucket(INTERVAL 1 HOUR, ts) AS s FROM events),
+  twice AS (SELECT * FROM r UNION ALL SELECT r.* FROM r, e, m WHERE ts <= middle AND s + INTERVAL 1 HOUR > mark)
+SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS n, round(avg((event_type = 'error')::INT), 6) AS error_share,
+  round(sum(value * 0.001::DOUBLE), 6) AS cost, round(avg(value), 6) AS latency_ms FROM twice
+WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2""")
+def monitor_late(spark, sf):
+    found = two_runs(spark, sf, lambda events: streams.monitor(events, "1 hour", None, "10 minutes"))
+    plain = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return found.select(*plain, "n", *[F.round(c, 6).alias(c) for c in ("error_share", "cost", "latency_ms")])
+
+
 @query("w5_sessions", """
 WITH m AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opened FROM events),
      g AS (SELECT *, sum(opened) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM m)
