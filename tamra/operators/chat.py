@@ -26,7 +26,7 @@ CALL_TYPE = "array<struct<id:string,name:string,arguments:string>>"
 RESPONSE_TYPE = "array<struct<name:string,response:string>>"
 PART_TYPE = "array<struct<type:string,text:string>>"
 # Columns a conversation table may have besides ``conv_id, turn, role, text``.
-OPTIONAL = {"reasoning": "string", "tool_calls": CALL_TYPE, "tool_responses": RESPONSE_TYPE, "tool_call_id": "string",
+OPTIONAL = {"reasoning": "string", "reasoning_content": "string", "tool_calls": CALL_TYPE, "tool_responses": RESPONSE_TYPE, "tool_call_id": "string",
             "name": "string", "parts": PART_TYPE}
 
 
@@ -225,9 +225,10 @@ def render_turns(turns: DataFrame, tools: Sequence[Mapping] = (), enable_thinkin
     legacy = F.coalesce(F.size("tool_responses") > 0, F.lit(False))
     header = F.when(model & (F.col("_before") == "assistant"), "").otherwise(
         F.concat(F.lit(TURN), F.when(model, "model").otherwise(F.col("role")), F.lit("\n")))
+    thought = F.coalesce(F.when(F.col("reasoning") != "", F.col("reasoning")), F.col("reasoning_content"), F.lit(""))
     thinking = F.when(
-        (F.coalesce(F.col("reasoning"), F.lit("")) != "") & has_calls & (F.col("turn") > F.coalesce(F.col("_last_user"), F.lit(-1))),
-        F.concat(F.lit(f"{CHANNEL}thought\n"), F.col("reasoning"), F.lit(f"\n{CHANNEL_END}"))).otherwise("")
+        (thought != "") & has_calls & (F.col("turn") > F.coalesce(F.col("_last_user"), F.lit(-1))),
+        F.concat(F.lit(f"{CHANNEL}thought\n"), thought, F.lit(f"\n{CHANNEL_END}"))).otherwise("")
     native = "tool_calls" in turns.columns
     calls = F.when(has_calls, _calls_text(F.to_json("tool_calls"))).otherwise("") if native else F.lit("")
     old_answers = _responses_text(F.to_json("tool_responses")) if "tool_responses" in turns.columns else F.lit("")

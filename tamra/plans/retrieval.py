@@ -129,16 +129,29 @@ def sparse_weights(spark, sf):
     return index.sparse_weights(chunks_of(spark, sf)).withColumn("weight", half_up(F.col("weight")))
 
 
+_EDITED = "CASE WHEN doc_id % 10 = 0 THEN text || ' edited' ELSE text END"
+_H16 = f"{S.hash32('term')} % 16 AS slot, (CASE WHEN {S.hash32('term')} // 16 % 2 = 0 THEN 1 ELSE -1 END)"
+
+
 @query("x3_upsert_vectors", f"""
 WITH a AS (SELECT doc_id, sha1({S.collapse()}) AS s FROM documents),
-     b AS (SELECT doc_id, sha1({S.collapse("CASE WHEN doc_id % 10 = 0 THEN text || ' edited' ELSE text END")}) AS s FROM documents WHERE doc_id % 10 <> 1)
-SELECT CAST(a.doc_id AS VARCHAR) AS chunk_id, a.s AS content_sha, b.doc_id IS NULL AS fresh FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.s = b.s""")
+     b AS (SELECT doc_id, sha1({S.collapse(_EDITED)}) AS s FROM documents WHERE doc_id % 10 <> 1),
+     bt AS MATERIALIZED (SELECT DISTINCT doc_id, unnest({S.words(_EDITED)}) AS term FROM documents WHERE doc_id % 10 <> 1),
+     df AS (SELECT term, count(*) AS df FROM bt GROUP BY 1), sz AS (SELECT count(DISTINCT doc_id) AS n FROM bt),
+     tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({S.words()}) AS term FROM documents) GROUP BY 1, 2),
+     v AS (SELECT doc_id, slot, sum(w) AS v FROM (SELECT doc_id, {_H16} * tf * (ln((n + 1) / (coalesce(df, 0) + 1)) + 1) AS w FROM tf LEFT JOIN df USING (term), sz) GROUP BY 1, 2),
+     u AS (SELECT doc_id, slot, round(CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 4) AS value FROM v QUALIFY abs(v) > 1e-9)
+SELECT CAST(a.doc_id AS VARCHAR) AS chunk_id, a.s AS content_sha, b.doc_id IS NULL AS fresh, CAST(slot AS INTEGER) AS slot, value
+FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.s = b.s LEFT JOIN u ON u.doc_id = a.doc_id""")
 def upsert_vectors(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text", "doc_id")
     before = docs.filter(F.col("doc_id") % 10 != 1).withColumn(
         "text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" edited"))).otherwise(F.col("text")))
     old = index.embed(before, dims=16)
-    return index.upsert_vectors(docs, old, lambda rows: index.embed(rows, dims=16, frozen=before)).select("chunk_id", "content_sha", "fresh")
+    now = index.upsert_vectors(docs, old, lambda rows: index.embed(rows, dims=16, frozen=before))
+    filled = F.filter(F.transform("embedding", lambda x, i: F.struct(i.alias("slot"), F.round(x.cast("double"), 4).alias("value"), x.alias("x"))),
+                      lambda e: F.abs(e["x"]) > 1e-9)
+    return now.select("chunk_id", "content_sha", "fresh", F.inline_outer(filled)).drop("x")
 
 
 @query("x4_postings", f"WITH {POST_SQL} SELECT term, chunk_id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS doc_len FROM post")
@@ -232,25 +245,40 @@ def bm25_topk(spark, sf):
     return lexical(spark, sf)
 
 
-_HYBRID_SQL = f"""{BM25_SQL},
-  qpost AS (SELECT item_id AS query_id, term, count(*) AS tf FROM (SELECT item_id, unnest({S.words()}) AS term FROM benchmark) GROUP BY 1, 2),
-  lex2 AS (SELECT query_id, chunk_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, chunk_id) AS INTEGER) AS rank FROM (
-     SELECT query_id, chunk_id, count(*) AS hits FROM qt JOIN post USING (term) GROUP BY 1, 2) QUALIFY rank <= 20),
+# Vectors of chunks and of queries, both weighed by the statistics of the chunks and kept in single precision.
+_DENSE_TEXT_SQL = f"""{HASHED_SQL.format(key='chunk_id', post='post')},
+  cu AS MATERIALIZED (SELECT chunk_id, slot, CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY chunk_id)) AS FLOAT) AS DOUBLE) AS u FROM hv QUALIFY sum(v * v) OVER (PARTITION BY chunk_id) > 0),
+  qpost AS (SELECT query_id, term, count(*) AS tf FROM (SELECT item_id AS query_id, unnest({S.words()}) AS term FROM benchmark) GROUP BY 1, 2),
+  qv AS (SELECT query_id, slot, sum(w) AS v FROM (
+     SELECT query_id, {S.hash32('term')} % 64 AS slot, (CASE WHEN {S.hash32('term')} // 64 % 2 = 0 THEN 1 ELSE -1 END) * tf * (ln((n + 1) / (coalesce(df, 0) + 1)) + 1) AS w
+     FROM qpost LEFT JOIN df USING (term), sz) GROUP BY 1, 2),
+  qu AS MATERIALIZED (SELECT query_id, slot, CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY query_id)) AS FLOAT) AS DOUBLE) AS u FROM qv QUALIFY sum(v * v) OVER (PARTITION BY query_id) > 0),
+  cn AS (SELECT chunk_id, sqrt(sum(u * u)) AS size FROM cu GROUP BY 1), qn AS (SELECT query_id, sqrt(sum(u * u)) AS size FROM qu GROUP BY 1),
+  dots AS (SELECT query_id, chunk_id, sum(qu.u * cu.u) AS s FROM qu JOIN cu USING (slot) GROUP BY 1, 2),
+  sem AS MATERIALIZED (SELECT query_id, chunk_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM (
+     SELECT query_id, chunk_id, round(s / (qn.size * cn.size), 6) AS score FROM dots JOIN cn USING (chunk_id) JOIN qn USING (query_id)) QUALIFY rank <= 20)"""
+_HYBRID_SQL = f"""{BM25_SQL}, {_DENSE_TEXT_SQL},
   fused AS MATERIALIZED (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM (
      SELECT query_id, chunk_id, round(coalesce(1.0::DOUBLE / (60 + a.rank), 0.0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0.0), 9) AS score
-     FROM lex2 a FULL JOIN lex b USING (query_id, chunk_id))) WHERE rank <= 10)"""
+     FROM sem a FULL JOIN lex b USING (query_id, chunk_id))) WHERE rank <= 10)"""
 
 
-def term_match_topk(spark, sf, k=20):
-    """A second ranking of the same chunks: number of query words they hold."""
-    terms = retrieve.query_terms(bench_queries(spark, sf))
-    hits = index.build_postings(chunks_of(spark, sf)).join(terms, "term").groupBy("query_id", "chunk_id").agg(
-        F.count(F.lit(1)).alias("score"))
-    return retrieve.top(hits, k)
+def semantic(spark, sf, k=20):
+    """Dense ranking of the chunks for the benchmark texts; texts and chunks without words have no direction and take no part."""
+    chunks = chunks_of(spark, sf)
+    has_words = F.exists("embedding", lambda x: x != 0)
+    asked = bench_queries(spark, sf).select(F.col("query_id").cast("string").alias("chunk_id"), "text")
+    queries = index.embed(asked, frozen=chunks).filter(has_words).select(F.col("chunk_id").cast("bigint").alias("query_id"), "embedding")
+    return retrieve.dense_topk(cut(queries), cut(index.embed(chunks).filter(has_words)), k)
 
 
 def fused(spark, sf):
-    return retrieve.hybrid(term_match_topk(spark, sf), lexical(spark, sf), 10)
+    return retrieve.hybrid(semantic(spark, sf), lexical(spark, sf), 10)
+
+
+@query("q1_dense_texts", f"WITH {POST_SQL}, {_DENSE_TEXT_SQL} SELECT query_id, chunk_id, score, rank FROM sem")
+def dense_texts(spark, sf):
+    return semantic(spark, sf)
 
 
 @query("q4_hybrid", f"WITH {_HYBRID_SQL} SELECT * FROM fused")
