@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tamra.operators.search import BLOCK, SHARD, nearest, top
 from tamra.session import cut
 
 RRF = 60
+ASKED = 500_000  # terms of queries that are sent to every task at once
 
 
 def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, where: Column | None = None,
@@ -52,16 +54,23 @@ def query_terms(queries: DataFrame, rules: Rules = PLAIN) -> DataFrame:
 
 def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | None = None, places: int = 6,
               rules: Rules = PLAIN) -> DataFrame:
-    """Lexical top-k: ``query_id, chunk_id, score, rank``. Statistics are those of the whole table of postings, built by the same ``rules``."""
+    """Lexical top-k: ``query_id, chunk_id, score, rank``. Statistics are those of the whole table of postings, built by the same ``rules``.
+
+    The terms of ``ASKED`` queries' rows at a time go to every task with their statistics. Postings of
+    ``dealt`` chunks are scored where they lie, and only the best ``k`` of each task are shuffled.
+    """
     n, mean = corpus_size(postings)
-    terms = query_terms(queries, rules)
-    wanted = terms.select("term").distinct()
+    terms = cut(query_terms(queries, rules))
+    asked = cut(terms.join(term_statistics(postings), "term").select("query_id", "term", "df"))
     base = postings if where is None else postings.filter(where)
-    relevant = postings.join(wanted, "term", "left_semi")
-    statistics = term_statistics(relevant)
-    weights = base.join(statistics, "term").select("term", "chunk_id", bm25_weight(n, mean).alias("w"))
-    scored = weights.join(terms, "term").groupBy("query_id", "chunk_id").agg(F.round(F.sum("w"), places).alias("score"))
-    return top(scored, k)
+    blocks = max(1, -(-asked.count() // ASKED))
+
+    def block(b: int) -> DataFrame:
+        of_block = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        weights = base.join(F.broadcast(of_block), "term").select("query_id", "chunk_id", bm25_weight(n, mean).alias("w"))
+        return top(weights.groupBy("query_id", "chunk_id").agg(F.round(F.sum("w"), places).alias("score")), k)
+
+    return reduce(DataFrame.unionByName, [block(b) for b in range(blocks)])
 
 
 def hybrid(dense: DataFrame, sparse: DataFrame, k: int, places: int = 9) -> DataFrame:

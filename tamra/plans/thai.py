@@ -62,6 +62,10 @@ def thai_chunks(spark, sf, rules):
     return chunk.chunk(thai_docs(spark, sf), SIZE, OVERLAP, rules=rules)
 
 
+def dealt_chunks(spark, sf, rules):
+    return index.dealt(thai_chunks(spark, sf, rules))
+
+
 @query("t2_build_vocab_thai", f"WITH {_thai_sql(VOCAB_SQL)} SELECT * FROM vocab")
 def build_vocab(spark, sf):
     return tokens.build_vocab(thai_docs(spark, sf), VOCAB, thai_rules(spark, sf))
@@ -91,11 +95,11 @@ def chunk_sweep(spark, sf):
 @query("x2_sparse_weights_thai", f"WITH {_thai_sql(POST_SQL)} SELECT chunk_id, term, round(w, 6) AS weight FROM wt")
 def sparse_weights(spark, sf):
     rules = thai_rules(spark, sf)
-    return index.sparse_weights(thai_chunks(spark, sf, rules), rules).withColumn("weight", half_up(F.col("weight")))
+    return index.sparse_weights(dealt_chunks(spark, sf, rules), rules).withColumn("weight", half_up(F.col("weight")))
 
 
 @query("q3_bm25_thai", f"WITH {_thai_sql(BM25_SQL)} SELECT * FROM lex")
 def bm25_topk(spark, sf):
     rules = thai_rules(spark, sf)
     asked = spelled(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
-    return retrieve.bm25_topk(asked, cut(index.build_postings(thai_chunks(spark, sf, rules), rules)), 20, rules=rules)
+    return retrieve.bm25_topk(asked, index.build_postings(dealt_chunks(spark, sf, rules), rules), 20, rules=rules)
