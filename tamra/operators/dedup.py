@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamra.functions.text import collapse, hash32, let, ngrams, words
-from tamra.session import cut
+from tamra.session import cut, scratch
 
 HASH_PRIME = 4_294_967_311  # the first prime above 2 ** 32
 
@@ -176,24 +176,34 @@ def simhash_pairs(df: DataFrame, most: int = 3) -> DataFrame:
 def components(pairs: DataFrame) -> DataFrame:
     """``doc_id, cluster_id``: the smallest id reachable over ``leader, member`` pairs.
 
-    Each round takes the smallest label among the neighbours, then the label of that label, so
-    the number of rounds grows with the logarithm of a chain. Both steps are joins and a ``min``
-    that is combined before the shuffle; a hub's neighbours are never gathered in a list.
+    Ids are ordered by their hash. Each round every id takes the least of its neighbours for its
+    root and the pairs move on to the roots: pairs inside a root are gone and equal ones fold, so
+    the rounds shrink, also on chains in the order of the ids. A hub's neighbours are combined
+    before the shuffle. Rounds are stored as files: a checkpoint would keep the estimated size, which a join
+    multiplies, so its digits doubled in every round and filled the driver.
     """
-    forward = pairs.select(F.col("leader").alias("a"), F.col("member").alias("b"))
-    edges = cut(forward.unionByName(forward.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.col("a")).alias("cluster_id")))
-    while True:
-        near = edges.join(labels, edges["b"] == labels["doc_id"]).groupBy("a").agg(F.min("cluster_id").alias("_near"))
-        lower = labels.join(near, labels["doc_id"] == near["a"]).select(
-            "doc_id", F.col("cluster_id").alias("_old"), F.least("cluster_id", "_near").alias("_label"))
-        jump = labels.select(F.col("doc_id").alias("_label"), F.col("cluster_id").alias("_next"))
-        step = cut(lower.join(jump, "_label").select(
-            "doc_id", "_old", F.least("_label", "_next").alias("cluster_id")))
-        changed = step.filter("cluster_id <> _old").limit(1).count()
-        labels = step.drop("_old")
-        if not changed:
-            return labels
+    spark = pairs.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = scratch(spark, "components")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    def node(c: str) -> Column:
+        return F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("id"))
+
+    ends = stored(pairs.select(node("leader").alias("a"), node("member").alias("b")).distinct())
+    labels = ends.select("a").unionByName(ends.select(F.col("b").alias("a"))).distinct().select(F.col("a").alias("node"), F.col("a").alias("root"))
+    links = ends.filter("a <> b")
+    while not links.isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        moved = stored(both.groupBy(F.col("a").alias("root")).agg(F.min("b").alias("_low")).select("root", F.least("root", "_low").alias("_to")))
+        labels = stored(labels.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root")))
+        for side in ("a", "b"):
+            links = links.join(moved.select(F.col("root").alias(side), F.col("_to").alias(f"_{side}")), side)
+        links = stored(links.filter("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
+    smallest = labels.groupBy("root").agg(F.min("node.id").alias("cluster_id"))
+    return stored(labels.join(smallest, "root").select(F.col("node.id").alias("doc_id"), "cluster_id"))
 
 
 def dedup_clusters(pairs: DataFrame, docs: DataFrame) -> DataFrame:
