@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from tamra.session import cut
 
 BLOCK, SHARD = 4_096, 32_768
-SLICE = 4_096  # items scored at once: a block times a slice is the largest array of a task
+SLICE = 1_024  # items scored at once: a block times a slice is the largest array of a task, 32 MB, and a few such lie side by side
 
 
 def top(scored: DataFrame, k: int, by: str = "query_id", item: str = "chunk_id") -> DataFrame:
@@ -93,8 +93,10 @@ def _best(k: int, metric: str, places: int) -> Callable:
         for at in range(0, len(v), SLICE):
             part = q @ v[at:at + SLICE].T
             if metric == "distance":
-                part = 2 * part - q_size[:, None] - v_size[None, at:at + SLICE]
-            part = np.round(part, places)
+                part *= 2
+                part -= q_size[:, None]
+                part -= v_size[None, at:at + SLICE]
+            np.round(part, places, out=part)
             n = part.shape[1]
             if n > k:
                 least = np.maximum(least, np.partition(part, n - k, axis=1)[:, n - k])
