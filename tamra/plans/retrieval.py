@@ -149,10 +149,10 @@ SELECT CAST(a.doc_id AS VARCHAR) AS chunk_id, a.s AS content_sha, b.doc_id IS NU
 FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.s = b.s LEFT JOIN u ON u.doc_id = a.doc_id""")
 def upsert_vectors(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text", "doc_id")
-    before = docs.filter(F.col("doc_id") % 10 != 1).withColumn(
-        "text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" edited"))).otherwise(F.col("text")))
+    before = index.dealt(docs.filter(F.col("doc_id") % 10 != 1).withColumn(
+        "text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))))
     old = index.embed(before, dims=16)
-    now = index.upsert_vectors(docs, old, lambda rows: index.embed(rows, dims=16, frozen=before))
+    now = index.upsert_vectors(docs, old, lambda rows: index.embed(index.dealt(rows), dims=16, frozen=before))
     filled = F.filter(F.transform("embedding", lambda x, i: F.struct(i.alias("slot"), F.round(x.cast("double"), 4).alias("value"), x.alias("x"))),
                       lambda e: F.abs(e["x"]) > 1e-9)
     return now.select("chunk_id", "content_sha", "fresh", F.inline_outer(filled)).drop("x")
