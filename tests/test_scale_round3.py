@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tamra.functions.personal import BEGINS, KINDS, SPARK_PATTERNS
-from tamra.operators import pii
+from tamra.operators import evaluate, pii
 
 
 def plan(df):
@@ -39,3 +39,27 @@ def test_score_makes_its_hits_once(spark):
     scored = pii.pii_score(hits.withColumn("start", seen("start")), hits.filter("doc_id = 1"), 0.5).collect()
     assert [(r.n_true, r.n_hits, r.recall, r.precision, r.ship) for r in scored] == [(1, 2, 1.0, 0.5, True)]
     assert made.value == 2
+
+
+def test_overlap_moves_texts_and_not_their_grams(spark):
+    pairs = spark.createDataFrame([(1, "a b a", "a a c"), (1, "c", None), (None, "x", "x"), (2, "", "b"), (3, None, "")],
+                                  "pair_id bigint, answer string, expected string")
+    scored = evaluate.overlap_metrics(pairs, 1)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r.pair_id: (r.n_common, r.precision, r.recall) for r in scored.collect()} == {1: (3, 0.75, 1.0), None: (0, 0.0, 0.0), 2: (0, 0.0, 0.0)}
+
+
+def test_support_keeps_claimed_grams_only(spark):
+    runs = spark.createDataFrame([(1, "a b c. Short one"), (2, "a b c")], "run_id bigint, answer string")
+    texts = spark.createDataFrame([(1, "x a b c y"), (2, "unlike a b")], "run_id bigint, text string")
+    scored = evaluate.support(runs, texts, 3, 0.5)
+    assert "LeftSemi" in plan(scored)
+    assert {r.run_id: (r.n_sentences, r.n_supported) for r in scored.collect()} == {1: (2, 1), 2: (1, 0)}
+
+
+def test_files_of_a_stream_grow_in_number(spark):
+    from tamra.plans.flow import as_files
+
+    folder = as_files(spark.range(0, 100, 1, 9), spark, "many-files")
+    assert len(spark.read.parquet(folder).inputFiles()) == 9
+    assert spark.read.parquet(folder).count() == 100
