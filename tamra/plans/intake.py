@@ -14,8 +14,7 @@ ALLOWED = ("mit", "apache", "cc0", "cc-by-4.0", "public domain")
 SELECT text || chr(10) AS text, 'TOR-Law' AS source FROM documents WHERE regexp_matches(text, '\\S')""")
 def markdown_tree(spark, sf):
     folder = scratch(spark, "tree")
-    docs = table(spark, sf, "documents")
-    docs.select("text").write.option("maxRecordsPerFile", 1).text(folder)
+    sinks.write_tree(table(spark, sf, "documents"), folder)
     return readers.read_markdown(spark, folder, "TOR-Law", pattern="*.txt").select("text", "source")
 
 

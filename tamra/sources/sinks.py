@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import os
+from collections.abc import Iterator
+from urllib.parse import urlsplit
+
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 MAX_RECORDS = 1_000_000
@@ -37,3 +42,28 @@ def write_manifest(df: DataFrame, path: str, stage: str, parameters: dict[str, o
 def append_runs(runs: DataFrame, path: str) -> None:
     """Append scored runs to the run log, one folder per configuration."""
     runs.write.mode("append").partitionBy("config_id").parquet(path)
+
+
+def write_tree(df: DataFrame, folder: str, column: str = "text", suffix: str = ".txt") -> None:
+    """One file per row, a line with the text, in a folder per task.
+
+    On a mounted folder each task makes its files itself: Spark's writer starts two processes a file
+    there (for its rights and those of its checksum), and the driver moves all files one by one. A
+    task that runs again writes the same names. Other stores get Spark's writer, whose tasks move their files.
+    """
+    place = urlsplit(folder)
+    if place.scheme not in ("", "file"):
+        df.select(column).write.options(**{"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}).text(folder)
+        return
+    root = place.path
+    os.makedirs(root)
+
+    def run(rows: Iterator[Row]) -> None:
+        inside = f"{root}/{TaskContext.get().partitionId():05d}"
+        os.makedirs(inside, exist_ok=True)
+        for i, row in enumerate(rows):
+            with open(f"{inside}/.{i}.{TaskContext.get().taskAttemptId()}", "wb") as file:
+                file.write(bytes(row[0] or b"") + b"\n")
+            os.replace(file.name, f"{inside}/{i}{suffix}")
+
+    df.select(F.col(column).cast("binary")).foreachPartition(run)

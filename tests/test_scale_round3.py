@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tamra.functions.personal import BEGINS, KINDS, SPARK_PATTERNS
 from tamra.operators import chunk, evaluate, pii
+from tamra.sources import readers, sinks
 
 
 def plan(df):
@@ -75,3 +76,14 @@ def test_segmentation_in_blocks_moves_no_text(spark):
         assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
         assert {r.doc_id: r.tokens or None for r in found.collect()} == {k: v or None for k, v in want.items()}
     assert [r.tokens for r in chunk.segment(df, known, 2).filter("doc_id = 5").collect()] == [["ขข", "กลม", "นาน"]]
+
+
+def test_tree_has_a_file_a_row_made_by_the_tasks(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb",), (None,), (" ",), ("ก",), ("",)], "text string").repartition(3)
+    for folder in (f"{tmp_path}/plain", f"file://{tmp_path}/named"):
+        sinks.write_tree(df, folder)
+    files = sorted(p.read_bytes().decode() for p in (tmp_path / "plain").rglob("*.txt"))
+    assert files == ["\n", "\n", " \n", "a\nb\n", "ก\n"]
+    assert not list((tmp_path / "plain").rglob("*.crc")) and not list((tmp_path / "plain").rglob(".*"))
+    read = readers.read_markdown(spark, f"file://{tmp_path}/named", "s", pattern="*.txt")
+    assert sorted(r.text for r in read.collect()) == ["a\nb\n", "ก\n"]
