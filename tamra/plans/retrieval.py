@@ -336,10 +336,11 @@ def facts_of(spark, sf):
     known = retrieve.to_intervals(order_changes(spark, sf)).withColumn("_k", F.col("value").cast("bigint")).withColumn(
         "sys_from", F.col("valid_from") + F.make_dt_interval(days=(F.col("_k") % 5).cast("int")))
     later = F.col("sys_from") + F.expr("interval 10 days")
-    first = known.withColumn("sys_to", F.when(F.col("_k") % 3 == 0, later))
-    second = known.filter(F.col("_k") % 3 == 0).withColumn("value", F.concat("value", F.lit("*"))).withColumn("sys_from", later).withColumn(
-        "sys_to", F.lit(None).cast(known.schema["valid_from"].dataType))
-    return first.unionByName(second).drop("_k")
+    corrected = F.col("_k") % 3 == 0
+    first = F.struct("value", "sys_from", F.when(corrected, later).alias("sys_to"))
+    second = F.struct(F.concat("value", F.lit("*")).alias("value"), later.alias("sys_from"), F.lit(None).cast(known.schema["valid_from"].dataType).alias("sys_to"))
+    versions = F.array_compact(F.array(first, F.when(corrected, second)))  # in the row, so that the intervals are made once
+    return known.select("key", "valid_from", "valid_to", F.inline_outer(versions))
 
 
 @query("q8_as_of", """

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tamra.functions.personal import BEGINS, KINDS, SPARK_PATTERNS
-from tamra.operators import chunk, evaluate, pii
+from tamra.operators import chunk, evaluate, pii, retrieve
 from tamra.sources import readers, sinks
 
 
@@ -87,3 +87,19 @@ def test_tree_has_a_file_a_row_made_by_the_tasks(spark, tmp_path):
     assert not list((tmp_path / "plain").rglob("*.crc")) and not list((tmp_path / "plain").rglob(".*"))
     read = readers.read_markdown(spark, f"file://{tmp_path}/named", "s", pattern="*.txt")
     assert sorted(r.text for r in read.collect()) == ["a\nb\n", "ก\n"]
+
+
+def test_as_of_makes_its_facts_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(x):
+        made.add(1)
+        return x is not None
+
+    facts = spark.sql("""SELECT * FROM VALUES ('a', 'x', timestamp_ntz '2024-01-01', timestamp_ntz '2024-02-01', timestamp_ntz '2024-01-01', cast(null as timestamp_ntz)),
+        ('a', 'y', timestamp_ntz '2024-02-01', null, timestamp_ntz '2024-02-01', null) AS t(key, value, valid_from, valid_to, sys_from, sys_to)""")
+    asked = spark.sql("SELECT i AS query_id, 'a' AS key, timestamp_ntz '2024-01-20' + make_dt_interval(cast(i * 20 as int)) AS valid_at, timestamp_ntz '2024-06-01' AS known_at FROM range(2) t(i)")
+    found = retrieve.as_of(asked, facts.repartition(1).filter(seen("value"))).collect()
+    assert {r.query_id: r.value for r in found} == {0: "x", 1: "y"}
+    assert made.value == 2
