@@ -54,6 +54,7 @@ def tokenise(df: DataFrame, vocab: DataFrame, keep: tuple[str, ...] = ("source",
     a shuffle. A larger one is joined.
     """
     kept = [c for c in keep if c in df.columns]
+    vocab = cut(vocab.select("token", "token_id"))  # counted and then looked up; it may be made from the whole corpus
     split = df.select("doc_id", *kept, surface_tokens(F.col("text"), rules).alias("_tokens"))
     n_tokens = (F.size("_tokens") + 1).cast("int").alias("n_tokens")
     if vocab.limit(MAX_LOOKUP + 1).count() <= MAX_LOOKUP:

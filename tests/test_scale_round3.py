@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tamra.functions.personal import BEGINS, KINDS, SPARK_PATTERNS
-from tamra.operators import chunk, evaluate, pii, retrieve
+from tamra.operators import chunk, evaluate, pii, retrieve, tokens
 from tamra.sources import readers, sinks
 
 
@@ -103,3 +103,19 @@ def test_as_of_makes_its_facts_once(spark):
     found = retrieve.as_of(asked, facts.repartition(1).filter(seen("value"))).collect()
     assert {r.query_id: r.value for r in found} == {0: "x", 1: "y"}
     assert made.value == 2
+
+
+def test_tokenise_makes_its_vocabulary_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(x):
+        made.add(1)
+        return x is not None
+
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, token_id int").repartition(1).filter(seen("token"))
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id int, text string")
+    found = tokens.tokenise(docs, vocab)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert {r.doc_id: r.input_ids for r in found.collect()}[1] == [4, 5, 3, 1]
+    assert made.value == 2
