@@ -19,6 +19,8 @@ import json
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -150,8 +152,8 @@ class Encoder:
     """Encodes texts word by word; keeps the ids of the words it met first, up to a bound."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int], cached: int = CACHED_WORDS) -> None:
-        self.new_words, self.bound, self.words = encode, cached, {}
         self.special = {s: np.array([special[s]], "<u4").tobytes() for s in sorted(special, key=len, reverse=True)}
+        self.new_words, self.bound, self.words = encode, cached + len(special), dict(self.special)
 
     def _parts(self, text: str) -> list[str]:
         """Pre-tokens and special tokens of a text in order."""
@@ -165,15 +167,15 @@ class Encoder:
         return pretokens(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self._parts(t) for t in texts]
-        new = dict.fromkeys(w for p in parts for w in p if w not in self.words and w not in self.special)
-        fresh = dict(zip(new, self.new_words(list(new)))) if new else {}
-        look = {**fresh, **self.special}
-        known = self.words
-        out = [b"".join([known[w] if w in known else look[w] for w in p]) for p in parts]
-        room = self.bound - len(known)
-        for w in list(fresh)[:max(room, 0)]:
-            known[w] = fresh[w]
+        parts, known = [self._parts(t) for t in texts], self.words
+        found = [list(map(known.get, p)) for p in parts]
+        new = list(dict.fromkeys(w for p, f in zip(parts, found) for w in compress(p, map(is_, f, repeat(None)))))
+        room = max(self.bound - len(known), 0)
+        if new:
+            known.update(zip(new, self.new_words(new)))
+        out = [b"".join([ids or known[w] for w, ids in zip(p, f)]) for p, f in zip(parts, found)]
+        for w in new[room:]:
+            del known[w]
         return out
 
 

@@ -28,6 +28,7 @@ from tamra.llm.bpe import Encoder, blocks
 
 BLOCK_TOKENS = 65_536
 BLOCK_CHARS = 2_000_000
+CACHED_WORDS = 400_000  # words whose ids a Python worker keeps: about 75 MB
 
 
 def bits_for(size: int) -> int:
@@ -71,7 +72,7 @@ def _library(path: str) -> tuple[Encoder, int]:
         return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
 
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return Encoder(words, special), tokenizer.get_vocab_size(with_added_tokens=True)
+    return Encoder(words, special, CACHED_WORDS), tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def vocabulary_size(path: str) -> int:

@@ -209,6 +209,24 @@ def test_packed_files_hold_all_ids(spark, odd, empty, tmp_path):
     assert packed.documents(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_packed_words_are_asked_for_once():
+    encoder, asked = packed._library.__wrapped__(tokenizer_path())[0], []
+    library = encoder.new_words
+    encoder.new_words = lambda words: asked.extend(words) or library(words)
+    text = " ".join(map(str, range(150_000))) + "<|endoftext|>"
+    first, again = encoder.encode([text]), encoder.encode([text, text])
+    assert again == first * 2 and np.frombuffer(first[0], "<u4").tolist() == library_ids(text)
+    assert len(asked) == len(set(asked)) == 150_000
+
+
+def test_a_full_word_cache_changes_no_ids():
+    library = packed._library(tokenizer_path())[0]
+    encoder = bpe.Encoder(library.new_words, {"<|endoftext|>": 50256}, 2)
+    for texts in (["one two"], ["one two three", "", "three<|endoftext|>three 4", "two"], ["three four", "one"]):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts)] == [library_ids(t) for t in texts]
+        assert len(encoder.words) == 3
+
+
 # --- 4 fingerprints
 
 def test_fingerprints(spark, odd, empty):
