@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tamra.functions.personal import BEGINS, KINDS, SPARK_PATTERNS
 from tamra.operators import chunk, evaluate, pii, retrieve, tokens
 from tamra.sources import readers, sinks
+from tamra.streaming import streams
 
 
 def plan(df):
@@ -119,3 +120,26 @@ def test_tokenise_makes_its_vocabulary_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert {r.doc_id: r.input_ids for r in found.collect()}[1] == [4, 5, 3, 1]
     assert made.value == 2
+
+
+def test_a_stream_takes_its_settings_and_gives_them_back(spark, tmp_path):
+    spark.range(40).selectExpr("id % 3 AS user_id", "timestamp '2024-01-01' + make_dt_interval(0, 0, cast(id * 12 as int)) AS ts").repartition(2).write.parquet(str(tmp_path / "in"))
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    stream = streams.sessions(spark.readStream.schema("user_id long, ts timestamp").parquet(str(tmp_path / "in")))
+    streams.run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"), settings={**streams.STATE_ON_DISK, name: "5"})
+    assert spark.conf.get(name) == before and not any(spark.conf.get(x, None) == y for x, y in streams.STATE_ON_DISK.items())
+    stores = [p for p in (tmp_path / "state" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == 5 and all(list(p.rglob("*.zip")) for p in stores)  # RocksDB's snapshots
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(got) == 36 and {r.n for r in got} == {1}
+
+
+def test_tasks_of_a_session_stream_grow_in_number(spark, tmp_path, monkeypatch):
+    from tamra.plans import flow
+    spark.range(90).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, cast(id as int)) AS ts", "id % 2 AS user_id",
+                               "'error' AS event_type", "1.5D AS value").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(flow, "EVENTS_A_TASK", 7)
+    assert flow.session_settings(spark, str(tmp_path))["spark.sql.shuffle.partitions"] == "13"
+    got = flow.sessions(spark, str(tmp_path)).collect()
+    assert len(got) == 89 and {r.n for r in got} == {1}
