@@ -19,8 +19,6 @@ import json
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -28,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tamra.llm.order import bounded
-from tamra.llm.pretokens import pretokens
+from tamra.llm.pretokens import sizes
 
 BLOCK_CHARS = 4_000_000  # texts whose new words share one index
 CACHED_WORDS = 100_000  # words whose ids a Python worker keeps
@@ -155,28 +153,36 @@ class Encoder:
         self.special = {s: np.array([special[s]], "<u4").tobytes() for s in sorted(special, key=len, reverse=True)}
         self.new_words, self.bound, self.words = encode, cached + len(special), dict(self.special)
 
-    def _parts(self, text: str) -> list[str]:
-        """Pre-tokens and special tokens of a text in order."""
+    def _sizes(self, text: str) -> np.ndarray:
+        """The bytes of the pre-tokens and special tokens of a text in order."""
         for name in self.special:
             if name in text:
-                pieces = text.split(name)
-                out = self._parts(pieces[0])
-                for piece in pieces[1:]:
-                    out += [name, *self._parts(piece)]
-                return out
-        return pretokens(text)
+                first, *others = map(self._sizes, text.split(name))
+                own = np.array([len(name.encode())], np.int64)
+                return np.concatenate([first, *(x for other in others for x in (own, other))])
+        return sizes(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts, known = [self._parts(t) for t in texts], self.words
-        found = [list(map(known.get, p)) for p in parts]
-        new = list(dict.fromkeys(w for p, f in zip(parts, found) for w in compress(p, map(is_, f, repeat(None)))))
+        parts, known = [self._sizes(t) for t in texts], self.words
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *parts]))
+        words = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer("".join(texts).encode())).dictionary_encode()
+        at, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in distinct if w not in known]
         room = max(self.bound - len(known), 0)
         if new:
             known.update(zip(new, self.new_words(new)))
-        out = [b"".join([ids or known[w] for w, ids in zip(p, f)]) for p, f in zip(parts, found)]
+        ids = [known[w] for w in distinct]
         for w in new[room:]:
             del known[w]
-        return out
+        # the ids of the distinct words lie side by side; every word takes its own from there
+        count = np.array([len(i) // 4 for i in ids], np.int64)
+        first = np.cumsum(count) - count
+        taken = count[at]
+        stop = np.cumsum(taken)
+        total = int(stop[-1]) if len(stop) else 0
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(first[at] - stop + taken, taken) + np.arange(total)].tobytes()
+        last = np.concatenate([np.zeros(1, np.int64), 4 * stop])[np.cumsum([0, *map(len, parts)])].tolist()
+        return [flat[a:b] for a, b in zip(last, last[1:])]
 
 
 def decode(ids: bytes, v: Vocabulary) -> str:

@@ -31,11 +31,9 @@ def classes() -> np.ndarray:
     return table
 
 
-def pretokens(text: str) -> list[str]:
-    """The pieces of a text, in order; joined they are the text again."""
+def _cuts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of a text begin, which is not empty, and its code points."""
     n = len(text)
-    if not n:
-        return []
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     kind = classes()[points]
     white = kind >= BLANK
@@ -56,5 +54,25 @@ def pretokens(text: str) -> list[str]:
         start[i + 1] = False
         if end < n:
             start[end] = True
-    cut = np.flatnonzero(start).tolist()
-    return [text[a:b] for a, b in zip(cut, [*cut[1:], n])]
+    return np.flatnonzero(start), points
+
+
+def pretokens(text: str) -> list[str]:
+    """The pieces of a text, in order; joined they are the text again."""
+    if not text:
+        return []
+    cut = _cuts(text)[0].tolist()
+    return [text[a:b] for a, b in zip(cut, [*cut[1:], len(text)])]
+
+
+def sizes(text: str) -> np.ndarray:
+    """The bytes of the pieces of a text in UTF-8."""
+    if not text:
+        return np.zeros(0, np.int64)
+    cut, points = _cuts(text)
+    if text.isascii():
+        return np.diff(cut, append=len(text))
+    width = np.ones(len(text), np.uint8)
+    for least in (0x80, 0x800, 0x10000):
+        width += points >= least
+    return np.add.reduceat(width, cut, dtype=np.int64)

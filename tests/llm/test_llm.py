@@ -222,9 +222,10 @@ def test_packed_words_are_asked_for_once():
 def test_a_full_word_cache_changes_no_ids():
     library = packed._library(tokenizer_path())[0]
     encoder = bpe.Encoder(library.new_words, {"<|endoftext|>": 50256}, 2)
-    for texts in (["one two"], ["one two three", "", "three<|endoftext|>three 4", "two"], ["three four", "one"]):
+    for texts in ([], [""], ["one two"], ["é ก🙂's", "<|endoftext|><|endoftext|>é", "one two three", "", "three<|endoftext|>three 4", "two"], ["three four", "one"]):
         assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts)] == [library_ids(t) for t in texts]
-        assert len(encoder.words) == 3
+        assert len(encoder.words) <= 3
+    assert len(encoder.words) == 3
 
 
 # --- 4 fingerprints
