@@ -8,11 +8,13 @@ what merging word by word gives.
 
 Cases: a null or empty text has no ids and decodes to an empty text; repeated rows give equal
 rows; other columns are left out of the result. A text of any length is encoded whole, and the
-memory of a task is bounded by a block of texts plus the word cache, both parameters.
+memory of a task is bounded by a block of texts plus the word cache, both parameters. What a
+block has freed goes back to the system, so workers that wait hold the vocabulary and the cache.
 """
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import heapq
 import json
@@ -30,6 +32,7 @@ from tamra.llm.pretokens import sizes
 
 BLOCK_CHARS = 4_000_000  # texts whose new words share one index
 CACHED_WORDS = 100_000  # words whose ids a Python worker keeps
+ENTERED = 1 << 18  # positions whose pairs are looked up at once
 
 
 @cache
@@ -91,13 +94,14 @@ def encode_words(words: list[str], v: Vocabulary) -> list[bytes]:
     # one dead cell after each word, and one before the first, keep words apart
     start = np.concatenate([[1], 1 + np.cumsum(length + 1)])
     total = int(start[-1])
-    symbol = np.full(total, -1, np.int64)
+    place_type = np.int32 if total < 1 << 31 else np.int64
+    symbol = np.full(total, -1, np.int32)
     data = np.frombuffer(b"".join(raw), np.uint8)
     inside = np.ones(total, bool)
     inside[0] = False
     inside[start[1:] - 1] = False
-    symbol[inside] = v.byte_ids[data]
-    before, after = np.arange(-1, total - 1), np.arange(1, total + 1)
+    symbol[inside] = v.byte_ids.astype(np.int32)[data]
+    before, after = np.arange(-1, total - 1, dtype=place_type), np.arange(1, total + 1, dtype=place_type)
     after[-1] = total - 1
     waiting: dict[int, list[np.ndarray]] = {}
     active: list[int] = []
@@ -106,7 +110,7 @@ def encode_words(words: list[str], v: Vocabulary) -> list[bytes]:
         """List the mergeable pairs that begin at these positions."""
         a, b = symbol[left], symbol[after[left]]
         real = (a >= 0) & (b >= 0)
-        left, key = left[real], a[real] * v.size + b[real]
+        left, key = left[real], a[real].astype(np.int64) * v.size + b[real]
         place = np.searchsorted(v.keys, key)
         place[place == len(v.keys)] = 0
         known = v.keys[place] == key
@@ -124,7 +128,8 @@ def encode_words(words: list[str], v: Vocabulary) -> list[bytes]:
                 heapq.heappush(active, r)
 
     if len(v.keys):
-        enter(np.flatnonzero(inside))
+        for first in range(0, total, ENTERED):
+            enter(np.flatnonzero(inside[first:first + ENTERED]).astype(place_type) + place_type(first))
     while active:
         rank = heapq.heappop(active)
         lists = waiting.pop(rank)
@@ -141,7 +146,7 @@ def encode_words(words: list[str], v: Vocabulary) -> list[bytes]:
         after[at], before[follow] = follow, at
         enter(np.unique(np.concatenate([at, before[at]])))
     kept = symbol >= 0
-    ends = np.concatenate([[0], np.cumsum(kept)])
+    ends = np.concatenate([np.zeros(1, place_type), np.cumsum(kept, dtype=place_type)])
     flat = symbol[kept].astype("<u4").tobytes()
     return [flat[4 * a:4 * b] for a, b in zip(ends[start[:-1]].tolist(), ends[start[1:] - 1].tolist())]
 
@@ -191,6 +196,38 @@ def decode(ids: bytes, v: Vocabulary) -> str:
     return b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that gives freed pages back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Hand memory that is free, but kept for later use, to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, with freed memory given back first, after each batch that it makes, and last.
+
+    Spark keeps the Python workers of a task for later ones; an executor has more of them than cores.
+    """
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        for made in run(batches):
+            yield made
+            del made
+            give_back()
+        give_back()
+
+    return tidy
+
+
 @cache
 def _encoder(path: str) -> Encoder:
     v = load(path)
@@ -219,7 +256,7 @@ def encode_text(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
             ids = pa.array(encoder.encode(texts), pa.binary())
             yield pa.RecordBatch.from_arrays([held.column(0), ids], names=[key, "ids"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids binary")
+    return docs.select(key, text).mapInArrow(tidied(run), f"`{key}` {kind}, ids binary")
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,7 +274,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                        pa.array([hashlib.sha256(b).hexdigest() for b in back])]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(key, text).mapInArrow(tidied(run), f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def decode_ids(ids: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
