@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import fnmatch
+import os
 import re
-from collections.abc import Iterable, Mapping, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
+from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +39,9 @@ def path_id(path: Column, ordinal: Column | int = 0) -> Column:
 
 def read_markdown(spark: SparkSession, folder: str, source: str, pattern: str = "*.md") -> DataFrame:
     """One row per file of a tree; blank files are left out."""
-    files = _lenient(spark).format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    files = mounted_files(spark, folder, pattern)
+    if files is None:
+        files = _lenient(spark).format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return (
         files.select(_drop_invalid(F.col("content")).alias("text"), F.col("path").alias("original_path"))
         .filter(non_blank(F.col("text")))
@@ -42,6 +49,85 @@ def read_markdown(spark: SparkSession, folder: str, source: str, pattern: str =
     )
 
 
+LISTERS = 32  # tasks that walk a tree; each takes its share of the entries of the top folder
+BATCH_BYTES = 4_000_000  # of contents that a task hands on at once, or one file
+PATHS = 10_000  # that a task hands on at once
+
+
+def mounted_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame | None:
+    """``path, content`` of the files that Spark's reader of binary files would find, listed and read by the tasks.
+
+    Spark's reader keeps a record of every file on the driver. Here tasks walk the tree, paths are
+    dealt by hash, and tasks read them. None if that reader is needed: for another store than a
+    mounted folder, a folder that is none or is named by a glob, or a pattern of more than ``*`` and ``?``.
+    """
+    place = urlsplit(folder)
+    root = os.path.abspath(place.path)
+    if place.scheme not in ("", "file") or place.netloc or place.query or place.fragment or re.search(r"[][{}\\^]", pattern) or re.search(r"[][{}*?\\%]", folder):
+        return None
+    if not os.path.isdir(root):
+        return None
+    wanted = re.compile(fnmatch.translate(pattern))
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or (name.startswith("_") and "=" not in name and not name.startswith(("_metadata", "_common_metadata"))) or name.endswith("._COPYING_")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries(at: str) -> Iterator[os.DirEntry]:
+            try:
+                with os.scandir(at) as found:
+                    yield from (e for e in found if not hidden(e.name))
+            except OSError:  # gone or closed meanwhile
+                return
+
+        for batch in batches:
+            for share in batch.column(0).to_pylist():
+                below, paths = [], []
+                for top in (True, False):
+                    while top or below:
+                        for e in entries(root if top else below.pop()):
+                            if top and zlib.crc32(e.name.encode("utf-8", "surrogateescape")) % LISTERS != share:
+                                continue
+                            if e.is_dir():
+                                below.append(e.path)
+                            elif wanted.match(e.name):
+                                paths.append(os.fsencode(e.path))
+                            if len(paths) >= PATHS:
+                                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.binary())], names=["name"])
+                                paths = []
+                        if top:
+                            break
+                if paths:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.binary())], names=["name"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, contents, size = [], [], 0
+
+        def made() -> pa.RecordBatch:
+            paths = pa.array([f"file:{os.fsdecode(n)}".encode("utf-8", "replace") for n in names], pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([paths, pa.array(contents, pa.binary())], names=["path", "content"])
+
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                try:
+                    with open(name, "rb") as file:
+                        content = file.read()
+                except OSError:
+                    continue
+                names.append(name)
+                contents.append(content)
+                size += len(content)
+                if size >= BATCH_BYTES:
+                    yield made()
+                    names, contents, size = [], [], 0
+        if names:
+            yield made()
+
+    shares = spark.range(0, LISTERS, 1, LISTERS).mapInArrow(listed, "name binary")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return shares.repartition(parts, "name").mapInArrow(read, "path string, content binary")
+
+
 def _social_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     lines = _lenient(spark).option("pathGlobFilter", pattern).text(folder)
     valid = lines.select(_drop_invalid(F.col("value")).alias("value")).filter(non_blank(F.col("value")))
