@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamra.functions.text import PLAIN, Rules, let, ngrams, words
-from tamra.operators.index import bm25_weight, corpus_size, term_statistics
+from tamra.operators.index import Dealt, bm25_weight, corpus_size, matched, term_statistics
 from tamra.operators.ordering import following
 from tamra.operators.search import BLOCK, SHARD, nearest, top
 from tamra.session import cut
 
 RRF = 60
 ASKED = 500_000  # terms of queries that are sent to every task at once
+CELLS = 1_000_000  # scores, and postings met with queries, that a task holds at once
 
 
 def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, where: Column | None = None,
@@ -53,17 +57,21 @@ def query_terms(queries: DataFrame, rules: Rules = PLAIN) -> DataFrame:
 
 
 def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | None = None, places: int = 6,
-              rules: Rules = PLAIN) -> DataFrame:
+              rules: Rules = PLAIN, chunks: Dealt | None = None) -> DataFrame:
     """Lexical top-k: ``query_id, chunk_id, score, rank``. Statistics are those of the whole table of postings, built by the same ``rules``.
 
-    The terms of ``ASKED`` queries' rows at a time go to every task with their statistics. Postings of
+    They are taken from the ``dealt`` chunks the postings are made of, if those are given. The terms of ``ASKED`` queries' rows at a time go to every task with their statistics. Postings of
     ``dealt`` chunks are scored where they lie, and only the best ``k`` of each task are shuffled.
     """
-    n, mean = corpus_size(postings)
+    n, mean = corpus_size(postings) if chunks is None else chunks.size
     terms = cut(query_terms(queries, rules))
-    asked = cut(terms.join(term_statistics(postings), "term").select("query_id", "term", "df"))
+    statistics = term_statistics(postings) if chunks is None else chunks.statistics
+    asked = cut(terms.join(statistics, "term").select("query_id", "term", "df"))
     base = postings if where is None else postings.filter(where)
     blocks = max(1, -(-asked.count() // ASKED))
+    if chunks is not None and chunks.once and where is None:
+        found = [_scored(chunks, asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b), n, mean, k, places) for b in range(blocks)]
+        return top(reduce(DataFrame.unionByName, found), k)
 
     def block(b: int) -> DataFrame:
         of_block = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
@@ -73,6 +81,73 @@ def bm25_topk(queries: DataFrame, postings: DataFrame, k: int, where: Column | N
     return reduce(DataFrame.unionByName, [block(b) for b in range(blocks)])
 
 
+def _scored(chunks: Dealt, asked: DataFrame, n: int, mean: float, k: int, places: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """``query_id, chunk_id, score``: of each task the ``k`` best chunks for each query, by the terms of ``asked`` (``query_id, term, df``)."""
+    table = asked.toArrow().combine_chunks()  # about ``ASKED`` rows
+    query, term = (table.column(c).combine_chunks().dictionary_encode(null_encoding="encode") for c in ("query_id", "term"))
+    order = np.argsort(term.indices.to_numpy(), kind="stable")
+    of_term = np.searchsorted(term.indices.to_numpy()[order], np.arange(len(term.dictionary) + 1))  # the queries of a term lie side by side
+    df = np.ones(len(term.dictionary))
+    df[term.indices.to_numpy()] = table.column("df").to_numpy()
+    idf = np.log((n - df + 0.5) / (df + 0.5) + 1) * (k1 + 1)
+    sent = asked.sparkSession.sparkContext.broadcast((query.dictionary, term.dictionary, query.indices.to_numpy()[order].astype(np.int64), of_term, idf))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, terms, asking, begins, idf = sent.value
+        many = len(queries)
+        best = Best(k, many)
+        for batch in batches if many else ():
+            row, at, tf = matched(batch.column(2), batch.column(3), terms)
+            norm = k1 * (1 - b + b * batch.column(1).to_numpy() / mean)
+            weight = idf[at] * tf / (tf + norm[row])
+            each = begins[at + 1] - begins[at]
+            ends = np.cumsum(np.bincount(row, weights=each, minlength=batch.num_rows)).astype(np.int64)
+            first = 0
+            while first < batch.num_rows:  # rows whose scores, and whose postings met with queries, fit into arrays of bounded size
+                before = int(ends[first - 1]) if first else 0
+                last = max(first + 1, min(first + max(1, CELLS // many), int(np.searchsorted(ends, before + CELLS, "right"))))
+                some = slice(*np.searchsorted(row, (first, last)))
+                times = each[some]
+                start = np.repeat(begins[at[some]] - (np.cumsum(times) - times), times)
+                cell = np.repeat((row[some] - first) * many, times) + asking[start + np.arange(len(start))]
+                scores = np.bincount(cell, weights=np.repeat(weight[some], times), minlength=(last - first) * many)
+                best.add(scores.reshape(-1, many), batch.column(0).slice(first, last - first), places)
+                first = last
+        if len(best.score):
+            yield pa.RecordBatch.from_arrays([queries.take(pa.array(best.query)), pa.concat_arrays(best.names), pa.array(best.score)],
+                                             names=["query_id", "chunk_id", "score"])
+
+    kind = asked.schema["query_id"].dataType.simpleString()
+    rows = chunks.rows.where("doc_len > 0").select("chunk_id", "doc_len", "terms", "tfs")
+    return rows.mapInArrow(run, f"query_id {kind}, chunk_id {chunks.kind}, score double")
+
+
+class Best:
+    """The ``k`` best items of each of ``many`` queries so far: ``query``, ``names`` and ``score``; ties by name, null first."""
+
+    def __init__(self, k: int, many: int) -> None:
+        self.k, self.least = k, np.zeros(many)
+        self.query, self.score, self.names = np.zeros(0, np.int64), np.zeros(0), []
+
+    def add(self, scores: np.ndarray, names: pa.Array, places: int) -> None:
+        """``scores`` has a row for each of ``names`` and a column for each query; 0 is no match."""
+        matches = scores > 0
+        scores = np.round(scores, places)
+        row, query = np.nonzero(matches & (scores >= self.least))
+        if not len(row):
+            return
+        held = pa.concat_arrays([*self.names, names.take(pa.array(row))])
+        query, score = np.concatenate([self.query, query]), np.concatenate([self.score, scores[row, query]])
+        coded = held.dictionary_encode(null_encoding="encode")
+        rank = pc.rank(coded.dictionary, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()[coded.indices.to_numpy()]
+        order = np.lexsort((rank, -score, query))
+        place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+        keep = order[place < self.k]
+        full = order[place == self.k - 1]
+        self.least[query[full]] = score[full]
+        self.query, self.score, self.names = query[keep], score[keep], [held.take(pa.array(keep))]
+
+
 def hybrid(dense: DataFrame, sparse: DataFrame, k: int, places: int = 9) -> DataFrame:
     """Reciprocal rank fusion of two ranked lists."""
     a = dense.select("query_id", "chunk_id", F.col("rank").alias("_r1"))

@@ -63,7 +63,7 @@ def thai_chunks(spark, sf, rules):
 
 
 def dealt_chunks(spark, sf, rules):
-    return index.dealt(thai_chunks(spark, sf, rules))
+    return index.dealt(thai_chunks(spark, sf, rules), rules, shas=False)
 
 
 @query("t2_build_vocab_thai", f"WITH {_thai_sql(VOCAB_SQL)} SELECT * FROM vocab")
@@ -102,4 +102,5 @@ def sparse_weights(spark, sf):
 def bm25_topk(spark, sf):
     rules = thai_rules(spark, sf)
     asked = spelled(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
-    return retrieve.bm25_topk(asked, index.build_postings(dealt_chunks(spark, sf, rules), rules), 20, rules=rules)
+    chunks = dealt_chunks(spark, sf, rules)
+    return retrieve.bm25_topk(asked, index.build_postings(chunks, rules), 20, rules=rules, chunks=chunks)
